@@ -56,7 +56,7 @@ def html_text(html: Column) -> Column:
     t = F.regexp_replace(t, r"<[^>]+>", "")
     for name, char in HTML_ENTITIES:
         t = F.replace(t, F.lit(name), F.lit(char))
-    t = F.regexp_replace(t, r"[ \t\r ]+", " ")
+    t = F.regexp_replace(t, r"[ \t\r\x{A0}]+", " ")
     t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
     return F.trim(t, F.lit(" \n"))
 
