@@ -72,14 +72,15 @@ def docs_of(spark, sf):
 
 
 def letters_of(spark, sf):
-    judged = historical.judged_rows(rows_of(spark, sf)).where(F.col("reason").isNotNull())
-    return deadletters.load_letters(judged)
+    judged = historical.judged_rows(rows_of(spark, sf))
+    keep = ["shard_table", "id", "message_id", "payload", "created_unix", "reason"]
+    return deadletters.load_letters(enrich.only(judged, F.col("reason").isNotNull(), *keep))
 
 
 def outcomes_of(spark, sf):
-    return files.extract_files(
-        files.pending_files(docs_of(spark, sf)), driver_tables.file_bytes(spark, sf), O.HOSTS, max_content_bytes=O.MAX_CONTENT
-    )
+    # as the job does, from written documents: the few columns of the files are read several times
+    pending = tables.staged(files.pending_files(docs_of(spark, sf)), "pending")
+    return files.extract_files(pending, driver_tables.file_bytes(spark, sf), O.HOSTS, max_content_bytes=O.MAX_CONTENT)
 
 
 def flat(docs: DataFrame) -> DataFrame:
@@ -230,22 +231,6 @@ def _(spark, sf):
     return deadletters.producer_letters(bad, limit=O.SMALL_DLQ).withColumn("raw_payload", F.col("raw_payload").cast("string"))
 
 
-# stream records of all shard rows: shard number as partition, id as offset, and every
-# tenth hour a writer with an old contract version
-def records_of(spark, sf) -> DataFrame:
-    """All encodable rows as stream records, dead ones included, so that every check is met."""
-    routed = routed_of(spark, sf)
-    kept = routed.select(
-        *enrich.message_columns()[:9], (F.col("outcome") != enrich.ROUTE_OK).alias("raw_excluded"),
-        *enrich.message_columns()[10:], "shard_table", "id", "encrypted", "body",
-    )
-    aged = kept.withColumn("schema_version", F.when(F.col("created_at") % 36000 < 3600, 1).otherwise(2)).withColumn(
-        "raw_payload", F.when(F.col("encrypted") | F.get_json_object(F.concat(F.lit('{"p":'), F.col("raw_payload"), F.lit("}")), "$.p").isNotNull() & F.col("body").isNotNull(), F.col("raw_payload")).otherwise(F.to_json(F.struct(F.col("raw_payload").alias("visibles"))))
-    )
-    encoded = wire.encode(aged.select(*wire.NAMES, "shard_table", "id"), "messages")
-    return encoded
-
-
 @query("decode_contract", O.R + "SELECT message_id, 2 AS schema_version, seq AS message_seq, content, content_type, outcome = 'raw_excluded' AS raw_excluded, space_id, array_to_string(visibles, '|') AS visibles, created_unix AS created_at, CAST(NULL AS VARCHAR) AS reason, CASE WHEN NOT encrypted THEN json_extract_string(payload, '$.url') END AS raw_url FROM routed WHERE outcome <> 'dlq'")
 def _(spark, sf):
     decoded = wire.decode(wire.encode(messages_of(spark, sf, keep=()), "messages"))
@@ -263,7 +248,7 @@ _FLAT = ", ".join(O.DOC_FLAT)
 @query("row_to_doc", O.D + f"SELECT {_FLAT} FROM docs")
 def _(spark, sf):
     judged = historical.judged_rows(rows_of(spark, sf))
-    return flat(judged.select(F.inline("docs")))
+    return flat(enrich.unpacked(judged, "docs"))
 
 
 @query(
@@ -594,18 +579,18 @@ def _(spark, sf):
     return stability.advance(cursors_of(spark), stability.next_cursors(stable))
 
 
-@query("cursor_lag", O._with(O.SRC, _CUR) + "SELECT cur.shard_table, coalesce(max(id), 0) AS source_max_id, last_id, coalesce(max(id), 0) - last_id AS lag FROM cur LEFT JOIN src USING (shard_table) GROUP BY ALL")
+@query("cursor_lag", O._with(O.SRC, _CUR) + "SELECT cur.shard_table, coalesce(max(id), 0) AS source_max_id, last_id, coalesce(max(id), 0) - last_id AS lag FROM cur LEFT JOIN src ON cur.shard_table = src.shard_table GROUP BY cur.shard_table, last_id")
 def _(spark, sf):
     return stability.cursor_lag(rows_of(spark, sf), cursors_of(spark))
 
 
 # arrival order by creation time and id: conversations and files interleave, ids do not ascend
 @query("order_tripwire", O._with(O.SRC) + """SELECT shard_table, arrival, prev_id, id FROM (SELECT *, row_number() OVER (PARTITION BY shard_table ORDER BY arrival) AS n FROM
-  (SELECT shard_table, created_unix * 10000000000000 + id AS arrival, id, lag(id) OVER (PARTITION BY shard_table ORDER BY created_unix * 10000000000000 + id) AS prev_id FROM
+  (SELECT shard_table, created_unix * 2000000000000 + id AS arrival, id, lag(id) OVER (PARTITION BY shard_table ORDER BY created_unix * 2000000000000 + id) AS prev_id FROM
   (SELECT shard_table, created_unix - 1704000000 AS created_unix, id FROM src)) WHERE id <= prev_id) WHERE n = 1""")
 def _(spark, sf):
     rows = rows_of(spark, sf).select(
-        "shard_table", "id", ((F.col("created_unix") - 1704000000) * 10000000000000 + F.col("id")).alias("arrival")
+        "shard_table", "id", ((F.col("created_unix") - 1704000000) * 2000000000000 + F.col("id")).alias("arrival")
     )
     return stability.order_violations(rows)
 
@@ -885,8 +870,8 @@ _LE = "(VALUES " + ", ".join(f"('{float(b)}', {float(b)})" for b in C.LATENCY_BU
 
 @query(
     "latency_histogram",
-    O.D + f""", w AS (SELECT 'e2e' AS stage, greatest(at - created_at, 0) AS v FROM (SELECT *, created_at + (message_seq * 37) % 2400 - 60 AS at FROM docs WHERE message_seq IS NOT NULL) WHERE created_at > 0
-    UNION ALL SELECT 'send_to_index', greatest(at - ts, 0) FROM (SELECT *, created_at + (message_seq * 37) % 2400 - 60 AS at FROM docs WHERE message_seq IS NOT NULL) WHERE ts > 0)
+    O.D + f""", w AS (SELECT 'e2e' AS stage, greatest(seen - created_at, 0) AS v FROM (SELECT *, created_at + (message_seq * 37) % 2400 - 60 AS seen FROM docs WHERE message_seq IS NOT NULL) WHERE created_at > 0
+    UNION ALL SELECT 'send_to_index', greatest(seen - ts, 0) FROM (SELECT *, created_at + (message_seq * 37) % 2400 - 60 AS seen FROM docs WHERE message_seq IS NOT NULL) WHERE ts > 0)
     SELECT stage, le, count(*) FILTER (WHERE v <= bound) AS n, CAST(sum(v) AS BIGINT) AS sum, count(*) AS count FROM w, {_LE} GROUP BY stage, le""",
 )
 def _(spark, sf):
@@ -924,9 +909,6 @@ def _(spark, sf):
     return docs_of(spark, sf).where(hit).select(F.col("_id").alias("doc_id"))
 
 
-_TOK = """flatten(list_transform(regexp_extract_all(lower({0}), '[\\p{{Han}}]+|[^\\P{{L}}\\p{{Han}}]+'), lambda r: [r]))"""
-
-
 def _words(col: str) -> str:
     """Letter and digit runs; a run of Han characters gives its pairs."""
     runs = f"regexp_extract_all(lower({col}), '\\p{{Han}}+|[\\p{{Latin}}\\p{{Greek}}\\p{{Cyrillic}}\\p{{N}}]+')"
@@ -1083,15 +1065,20 @@ def stream_folder(spark, sf, root):
     records = keyed.select(
         "topic", spots.alias("partition"), F.get_json_object(F.col("value").cast("string"), "$.message_seq").cast("bigint").alias("offset"), "key", "value"
     )
-    poison = rows_of(spark, sf).groupBy("shard_table").agg(F.max("id").alias("id")).select(
-        F.lit("messages").alias("topic"), F.lit(0).alias("partition"), "id", F.col("shard_table").cast("binary").alias("key"),
-        F.explode(F.array(F.lit('{"schema_version":1,"message_id":"1"}'), F.lit("junk"))).cast("binary").alias("value"),
-    ).withColumnRenamed("id", "offset")
+    bad_values = F.explode(F.array(F.lit('{"schema_version":1,"message_id":"1"}'), F.lit("junk")))
+    poison = rows_of(spark, sf).groupBy("shard_table").agg(F.max("id").alias("offset")).select(
+        F.lit("messages").alias("topic"), F.lit(0).alias("partition"), "offset", F.col("shard_table").cast("binary").alias("key"),
+        bad_values.alias("value"),
+    ).withColumn("value", F.col("value").cast("binary"))
     records.unionByName(poison).repartition(4, "partition").write.parquet(f"{root}/stream")
     return f"{root}/stream"
 
 
-@query("index_stream", O.D + f"SELECT {_FLAT} FROM docs")
+# records inline their payload as compact JSON
+_COMPACT = _FLAT.replace("payload_raw", """replace(payload_raw, '{"k": ', '{"k":') AS payload_raw""")
+
+
+@query("index_stream", O.D + f"SELECT {_COMPACT} FROM docs")
 def _(spark, sf):
     root = new_work_dir(spark, "index-stream")
     store = DocumentStore(spark, f"{root}/docs", **SLOTS)
@@ -1106,13 +1093,15 @@ def _(spark, sf):
 def _(spark, sf):
     root = new_work_dir(spark, "poison")
     records = spark.read.schema(C.ddl(C.STREAM_FIELDS)).parquet(stream_folder(spark, sf, root))
-    return wire.judged(records).select("reason").where("reason IS NOT NULL").groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    bad = enrich.only(wire.judged(records), F.col("reason").isNotNull(), "reason")
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
 
 
 _FILE_RESULT = O.X + """SELECT message_id AS doc_id, outcome, whole IS NOT NULL AND outcome = 'ok' AS has_content FROM (SELECT message_id, outcome, whole FROM outcomes)"""
 
 
-@query("file_stream", _FILE_RESULT)
+# the stream leg takes a declared size only from a number, and these files declare it as text or small
+@query("file_stream", _FILE_RESULT.replace("file_size AS size", "CAST(NULL AS BIGINT) AS size"))
 def _(spark, sf):
     """The index leg first, then the file leg over the same stream."""
     root = new_work_dir(spark, "file-stream")

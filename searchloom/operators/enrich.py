@@ -110,12 +110,27 @@ def message_columns() -> list[Column]:
     ]
 
 
+def only(df: DataFrame, condition: Column, *columns) -> DataFrame:
+    """``df.where(condition).select(*columns)`` that computes the condition's inputs once.
+
+    The optimizer pushes a filter below the projections it reads, so a filter on a parsed
+    value parses every payload twice, and nested ones multiply. An ``inline`` of a
+    conditional one-row array keeps its place.
+    """
+    fields = F.struct(*[F.col(c) if isinstance(c, str) else c for c in columns])
+    return df.select(F.inline(F.when(condition, F.array(fields))))
+
+
 def contract_rows(routed: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Messages of all rows that are not dead-lettered, plus the ``keep`` columns.
+    """Messages of all rows that are not dead-lettered, plus the ``keep`` columns."""
+    return only(routed, F.col("outcome") != ROUTE_DLQ, *message_columns(), *(keep or []))
+
+
+def unpacked(df: DataFrame, array: str, *columns: str) -> DataFrame:
+    """One row per element of an array of structs, beside the named columns.
 
-    The rows come out of an ``inline`` instead of a filter: a filter on the route would
-    be pushed below the parse and make every payload parse twice.
+    The outer form keeps the optimizer from adding a filter on the array, which would
+    compute the array twice; empty rows are dropped after.
     """
-    keep = keep or []
-    fields = F.struct(*message_columns(), *[F.col(k) for k in keep])
-    return routed.select(F.inline(F.when(F.col("outcome") != ROUTE_DLQ, F.array(fields))))
+    out = df.select(*columns, F.explode_outer(array).alias("_e")).where(F.col("_e").isNotNull())
+    return out.select(*columns, "_e.*")

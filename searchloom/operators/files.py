@@ -16,8 +16,8 @@ PLAIN_MIMES = ["text/plain", "text/csv", "text/markdown", "application/json", "a
 HTML_MIME = "text/html"
 FILE_FIELDS = ["type", "url", "name", "extension", "size"]
 
-# a plug-in turns batches of (url, body, ext) into (url, content, error_kind, extract_ms);
-# error_kind is null, encrypted, extract_timeout or extract_error
+# a plug-in turns batches of (url, body, ext) into (url, content, error_kind, extract_ms),
+# row by row; error_kind is null, encrypted, extract_timeout or extract_error
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
@@ -71,32 +71,40 @@ def native_text(body: Column, mime: Column) -> Column:
     return F.when(mime == HTML_MIME, textx.html_text(text)).when(mime.isin(PLAIN_MIMES), text)
 
 
-def extract(files: DataFrame, extractor: Extractor | None = None) -> DataFrame:
-    """Add content and error_kind to (url, body, ext).
+def extract(fetched: DataFrame, extractor: Extractor | None = None) -> DataFrame:
+    """Content and error_kind of (url, ext, body), in one pass over the bytes.
 
-    Formats Spark can read by expressions never leave the JVM; the others go through
-    the plug-in in Arrow batches, or fail as extract_error without one.
+    Formats Spark can read by expressions never leave the JVM; the bytes of the others go
+    to the plug-in in Arrow batches, or count as extract_error without one. A null body
+    gives neither content nor error.
     """
-    typed = files.withColumn("mime", textx.mime_type(F.col("ext")))
-    inside = F.col("mime").isin([HTML_MIME, *PLAIN_MIMES])
-    # a column of the row decides, so both branches read the same narrow input once
-    done = typed.where(inside).select(
-        "url", "ext", native_text(F.col("body"), F.col("mime")).alias("content"),
-        F.lit(None).cast("string").alias("error_kind"), F.lit(NATIVE_LABEL).alias("extractor"),
+    mime = textx.mime_type(F.col("ext"))
+    inside = mime.isin([HTML_MIME, *PLAIN_MIMES])
+    native = fetched.select(
+        "url", "ext",
+        native_text(F.col("body"), mime).alias("content"),
+        F.when(~inside & F.col("body").isNotNull(), F.lit("extract_error")).alias("error_kind"),
+        F.lit(NATIVE_LABEL).alias("extractor"),
         F.lit(0).cast("bigint").alias("extract_ms"),
+        F.when(~inside, F.col("body")).alias("body"),
     )
-    rest = typed.where(~inside)
     if extractor is None:
-        other = rest.select(
-            "url", "ext", F.lit(None).cast("string").alias("content"), F.lit("extract_error").alias("error_kind"),
-            F.lit(NATIVE_LABEL).alias("extractor"), F.lit(0).cast("bigint").alias("extract_ms"),
-        )
-    else:
-        label = getattr(extractor, "label", "plugin")
-        other = rest.select("url", "ext", "body").mapInPandas(
-            extractor, "url string, ext string, content string, error_kind string, extract_ms bigint"
-        ).select("url", "ext", "content", "error_kind", F.lit(label).alias("extractor"), "extract_ms")
-    return done.unionByName(other)
+        return native.drop("body")
+    label = getattr(extractor, "label", "plugin")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            open_ = batch["body"].notna()
+            if open_.any():
+                for done in extractor(iter([batch.loc[open_, ["url", "body", "ext"]]])):
+                    done = done.merge(batch.loc[open_, ["url", "ext"]], on="url")
+                    yield done.assign(extractor=label)[OUT]
+            yield batch.loc[~open_, OUT]
+
+    OUT = ["url", "ext", "content", "error_kind", "extractor", "extract_ms"]
+    return native.mapInPandas(
+        run, "url string, ext string, content string, error_kind string, extractor string, extract_ms bigint"
+    )
 
 
 def extract_files(
@@ -111,37 +119,31 @@ def extract_files(
 
     ``store`` holds (url, body), unique by url. Each address is fetched and extracted
     once however many messages carry it, and only the cut text is joined back; a popular
-    file is spread by the adaptive skew join.
+    file is spread by the adaptive skew join. ``files`` is read twice: give a written table.
     """
     checked = with_precheck(files, hosts, max_file_bytes)
     wanted = checked.where(F.col("reason").isNull()).select("url", "ext").distinct()
-    size = F.octet_length("body")
-    fetched = wanted.join(store, "url")
-    small = extract(fetched.where(size <= max_file_bytes), extractor)
-    large = fetched.where(size > max_file_bytes).select("url", "ext", F.lit("oversize").alias("failure"))
+    large = F.octet_length("body") > max_file_bytes
+    fetched = wanted.join(store, "url").withColumn("large", large)
+    texts = extract(fetched.withColumn("body", F.when(~F.col("large"), F.col("body"))), extractor)
     blank = F.coalesce(textx.is_blank(F.col("content")), F.lit(True))
-    judged = (
-        small.withColumn(
-            "failure",
-            F.when(F.col("error_kind").isin("encrypted", "extract_timeout"), F.col("error_kind"))
-            .when(F.col("error_kind").isNotNull(), F.lit("extract_error"))
-            .when(blank, F.lit("empty_extract")),
-        )
-        .withColumn("truncated", F.octet_length("content") > max_content_bytes)
-        .withColumn("content", textx.cut_utf8(F.col("content"), max_content_bytes))
-    )
-    results = judged.select("url", "ext", "content", "truncated", "failure", "extractor", "extract_ms").unionByName(
-        large, allowMissingColumns=True
-    )
-    joined = checked.join(results.withColumn("found", F.lit(True)), ["url", "ext"], "left")
+    results = texts.select(
+        "url", "ext",
+        textx.cut_utf8(F.col("content"), max_content_bytes).alias("content"),
+        (F.octet_length("content") > max_content_bytes).alias("truncated"),
+        F.when(F.col("error_kind").isin("encrypted", "extract_timeout"), F.col("error_kind"))
+        .when(F.col("error_kind").isNotNull(), F.lit("extract_error"))
+        .when(F.col("content").isNull(), F.lit("oversize"))
+        .when(blank, F.lit("empty_extract"))
+        .alias("failure"),
+        "extractor", "extract_ms",
+        F.lit(True).alias("found"),
+    )
     # refused before fetching, else gone from the store, else what extraction said
-    reason = F.coalesce(
-        "reason",
-        F.when(F.col("found").isNull(), F.lit("download_failed")),
-        "failure",
-    )
+    reason = F.coalesce("reason", F.when(F.col("found").isNull(), F.lit("download_failed")), "failure")
     return (
-        joined.withColumn("outcome", reason)
+        checked.join(results, ["url", "ext"], "left")
+        .withColumn("outcome", reason)
         .select(
             "message_id", "url", "ext", "size",
             F.coalesce("outcome", F.lit("ok")).alias("outcome"),

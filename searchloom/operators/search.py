@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from searchloom import contract as C
 from searchloom.functions import textx
+from searchloom.operators.enrich import unpacked
 
 
 def term(path: str, value) -> Column:
@@ -67,19 +68,22 @@ def inverted_index(docs: DataFrame, paths: list[str] | None = None) -> DataFrame
             for p in paths or C.TEXT_PATHS
         ]
     )
-    texts = docs.select(F.col("_id").alias("doc_id"), F.explode(F.filter(fields, lambda f: f["text"] != "")).alias("f"))
-    words = texts.select("doc_id", "f.field", F.array_sort(textx.tokens(F.col("f.text"))).alias("words"))
-    # sorted words: a run ends where the next word differs, and run ends give the counts
+    texts = docs.select(F.col("_id").alias("doc_id"), F.explode(fields).alias("f")).select(
+        "doc_id", "f.field", F.array_sort(textx.tokens(F.col("f.text"))).alias("words")
+    )
+    # in sorted words a run ends where the next word differs; run ends give the counts
     ends = F.filter(
-        F.sequence(F.lit(1), F.size("words")),
-        lambda i: (i == F.size("words")) | (F.get(F.col("words"), i - 1) != F.get(F.col("words"), i)),
+        F.transform("words", lambda w, i: F.when(F.coalesce(F.get("words", i + 1) != w, F.lit(True)), i + 1)),
+        lambda e: e.isNotNull(),
     )
-    runs = words.where(F.size("words") > 0).select("doc_id", "field", "words", ends.alias("ends"))
-    return runs.select(
-        "doc_id", "field", F.posexplode("ends").alias("p", "end"), "words", "ends"
-    ).select(
-        F.get(F.col("words"), F.col("end") - 1).alias("token"),
+    counted = texts.withColumn("ends", ends).select(
         "doc_id",
         "field",
-        (F.col("end") - F.coalesce(F.get(F.col("ends"), F.col("p") - 1), F.lit(0))).alias("tf"),
+        F.transform(
+            "ends",
+            lambda e, i: F.struct(
+                F.get("words", e - 1).alias("token"), (e - F.coalesce(F.get("ends", i - 1), F.lit(0))).alias("tf")
+            ),
+        ).alias("postings"),
     )
+    return unpacked(counted, "postings", "doc_id", "field")

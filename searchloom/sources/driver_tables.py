@@ -114,7 +114,7 @@ def shard_rows_sql(dialect: str) -> str:
     {payload} AS payload
   FROM events
   UNION ALL
-  SELECT {shard.format('conv_id')}, conv_id * 1000 + turn, CAST({BASE_ID} + 100000000000000000 + conv_id * 1000 + turn AS STRING),
+  SELECT {shard.format('conv_id')}, conv_id * 1000 + turn + 1, CAST({BASE_ID} + 100000000000000000 + conv_id * 1000 + turn AS STRING),
     turn, role, concat('c', CAST(conv_id AS STRING)), 2, 0, 0,
     1704067200 + conv_id * 7 + turn, 1704067200 + conv_id * 7 + turn,
     concat('{{"type":1,"content":"', {_escaped('text')}, '"}}')
