@@ -71,7 +71,7 @@ def run(rows: DataFrame, target: LoadTarget) -> DataFrame:
     staged = tables.staged(judged, "load", partition_by="leg")
     letters = deadletters.load_letters(staged.where(F.col("leg") == "dlq"))
     stored = tables.read_runs(spark, target.dlq_root, LETTER_DDL)
-    tables.write_run(
+    tables.append_run(
         deadletters.new_letters(letters, stored).select(*[c.strip().split()[0].strip("`") for c in LETTER_DDL.split(",")]),
         target.dlq_root,
         f"{version + 1:012d}",

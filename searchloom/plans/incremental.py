@@ -34,8 +34,9 @@ def run_tick(
 ) -> dict[str, int]:
     """Publish the stable rows above the cursors, then move the cursors to the prefix end.
 
-    Main records first, then dead letters, then one compare-and-set. Outputs are keyed by
-    the cursor version, so a repeated tick replaces them. Returns the cursors now valid.
+    Main records first, then dead letters, then one compare-and-set. A tick that fails or
+    loses the race leaves its records behind and they are published again: readers upsert
+    by message_id. Returns the cursors now valid.
     """
     version, current = cursors.read()
     plan = tables.staged(
@@ -44,9 +45,9 @@ def run_tick(
     messages = plan.where(F.col("leg") == "main")
     letters = plan.where(F.col("leg") == "dlq").select("row.*", F.col("why").alias("reason"))
     tick = f"{version + 1:012d}"
-    tables.write_run(wire.encode(messages, topic), f"{out}/main", tick)
+    tables.append_run(wire.encode(messages, topic), f"{out}/main", tick)
     stamped = deadletters.producer_letters(letters).withColumn("produced_at", F.lit(now_unix).cast("bigint"))
-    tables.write_run(stamped, f"{out}/dlq", tick)
+    tables.append_run(stamped, f"{out}/dlq", tick)
     ends = stability.next_cursors(plan.select("row.shard_table", "row.id")).collect()  # one row per shard
     moved = {**current, **{s: max(end, current.get(s, 0)) for s, end in ends}}
     if moved == current:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from searchloom.session import new_work_dir
@@ -20,12 +22,25 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
 
 
 def write_run(df: DataFrame, root: str, run: str) -> str:
-    """Write the output of one run; writing it again replaces it, never adds to it."""
+    """Write the output of one run; writing it again replaces it.
+
+    Only for output that follows from the run alone, as that of a stream batch does.
+    """
     path = f"{root.rstrip('/')}/run={run}"
     df.write.mode("overwrite").parquet(path)
     return path
 
 
+def append_run(df: DataFrame, root: str, run: str) -> str:
+    """Add the output of one attempt under a name of its own; nothing written before changes.
+
+    A repeated or competing attempt can so never replace rows another one counted on.
+    """
+    path = f"{root.rstrip('/')}/run={run}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(path)
+    return path
+
+
 def read_runs(spark: SparkSession, root: str, ddl: str) -> DataFrame:
     """All rows of all runs; empty when nothing was written yet."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)

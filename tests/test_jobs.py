@@ -228,16 +228,18 @@ def test_addresses(spark):
     assert [r["u"] for r in df.where(netx.ip_blocked(F.col("u")) != F.col("want")).collect()] == []
 
 
-def fake_extractor(batches):
-    for b in batches:
-        out = pd.DataFrame({"url": b["url"], "content": [x.decode() for x in b["body"]], "error_kind": None, "extract_ms": 5})
-        for word, kind in [("locked", "encrypted"), ("slow", "extract_timeout"), ("odd", "extract_error")]:
-            hit = out["content"] == word
-            out.loc[hit, "error_kind"], out.loc[hit, "content"] = kind, None
-        yield out
+def fake_extractor():
+    # an inner function travels to the workers by value
+    def run(batches):
+        for b in batches:
+            out = pd.DataFrame({"url": b["url"], "content": [x.decode() for x in b["body"]], "error_kind": None, "extract_ms": 5})
+            for word, kind in [("locked", "encrypted"), ("slow", "extract_timeout"), ("odd", "extract_error")]:
+                hit = out["content"] == word
+                out.loc[hit, "error_kind"], out.loc[hit, "content"] = kind, None
+            yield out
 
-
-fake_extractor.label = "fake/1"
+    run.label = "fake/1"
+    return run
 
 
 def test_first_failing_check_decides(spark):
@@ -250,7 +252,7 @@ def test_first_failing_check_decides(spark):
     ]
     bodies = {"5": b"plain", "6": " 　\n".encode(), "7": b"locked", "8": b"slow", "9": b"from doc", "10": b"odd", "11": b"<p>a</p><script>no</script><b>b &amp; c</b>", "13": b"x" * 40}
     store = spark.createDataFrame([(h + k, bytearray(v)) for k, v in bodies.items()], "url string, body binary")
-    out = files.extract_files(spark.createDataFrame(files_, ddl), store, ["h"], max_file_bytes=100, max_content_bytes=8, extractor=fake_extractor)
+    out = files.extract_files(spark.createDataFrame(files_, ddl), store, ["h"], max_file_bytes=100, max_content_bytes=8, extractor=fake_extractor())
     got = {r["message_id"]: (r["outcome"], r["content"]) for r in out.collect()}
     assert got == {
         "1": ("blacklist_ext", None), "2": ("oversize", None), "3": ("invalid_url", None), "4": ("download_failed", None), "5": ("ok", "plain"),
@@ -335,16 +337,18 @@ def test_failed_publish_leaves_the_cursor(spark, root, monkeypatch):
     def fail(df, path, run):
         if path.endswith("/dlq"):
             raise OSError("no space")
-        return tables_write(df, path, run)
+        return append(df, path, run)
 
-    tables_write = tables.write_run
-    monkeypatch.setattr(tables, "write_run", fail)
+    append = tables.append_run
+    monkeypatch.setattr(tables, "append_run", fail)
     with pytest.raises(OSError):
         incremental.run_tick(rows(spark, *SUITE), p, root, 1700009000, 600)
     assert p.read() == (0, {})
     monkeypatch.undo()
     incremental.run_tick(rows(spark, *SUITE), p, root, 1700009000, 600)
-    assert incremental.main_records(spark, root).count() == 4
+    # the records of the failed tick are published twice, under the same keys
+    assert incremental.main_records(spark, root).select("key").distinct().count() == 4
+    assert p.read()[1] == {"message": 3, "message1": 3}
     with pytest.raises(gates.GateError):
         incremental.run_tick(rows(spark, *SUITE), p, root, 1700009000, 0)
 
