@@ -65,8 +65,11 @@ def run(rows: DataFrame, target: LoadTarget) -> DataFrame:
     """
     spark = rows.sparkSession
     version, cursors = target.cursors.read()
-    judged = judged_rows(shards.scan(rows, cursors)).withColumn(
-        "leg", F.when(F.col("reason").isNull(), F.lit("docs")).otherwise(F.lit("dlq"))
+    dead = F.col("reason").isNotNull()
+    judged = (
+        judged_rows(shards.scan(rows, cursors))
+        .withColumn("leg", F.when(dead, F.lit("dlq")).otherwise(F.lit("docs")))
+        .withColumn("payload", F.when(dead, F.col("payload")))  # documents hold theirs
     )
     staged = tables.staged(judged, "load", partition_by="leg")
     letters = deadletters.load_letters(staged.where(F.col("leg") == "dlq"))
@@ -76,8 +79,12 @@ def run(rows: DataFrame, target: LoadTarget) -> DataFrame:
         target.dlq_root,
         f"{version + 1:012d}",
     )
-    docs = staged.where(F.col("leg") == "docs").select("shard_table", "id", F.inline("docs"))
-    target.store.upsert(tables.staged(upsert.newest_documents(docs, ["shard_table", "id"]), "load-docs"))
+    good = staged.where(F.col("leg") == "docs")
+    docs = good.select("shard_table", "id", F.inline("docs"))
+    target.store.upsert(
+        upsert.newest_documents(docs, ["shard_table", "id"]),
+        keys=good.select(F.explode("docs.messageId").alias("messageId")),
+    )
     tops = staged.groupBy("shard_table").agg(F.max("id")).collect()  # one row per shard
     target.cursors.commit(version, {**cursors, **{s: top for s, top in tops}})
     return staged

@@ -26,7 +26,10 @@ def planned(rows: DataFrame, now_unix: int, lag: int, limit: int = C.MAX_MESSAGE
     oversize = (F.col("outcome") != enrich.ROUTE_DLQ) & (F.col("fit") == "oversize")
     return sized.withColumn(
         "why", F.coalesce("why", F.when(oversize, F.lit(C.PRODUCER_OVERSIZE)))
-    ).withColumn("leg", F.when(F.col("why").isNull(), F.lit("main")).otherwise(F.lit("dlq")))
+    ).withColumn("leg", F.when(F.col("why").isNull(), F.lit("main")).otherwise(F.lit("dlq"))).withColumn(
+        # a message holds its payload already
+        "row", F.col("row").withField("payload", F.when(F.col("leg") == "dlq", F.col("row.payload")))
+    )
 
 
 def run_tick(
