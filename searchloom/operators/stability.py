@@ -1,7 +1,8 @@
 """Which rows of a growing shard may be taken, and how far its cursor may move.
 
 Every function works per shard or stream partition by plain aggregates, which combine
-before the shuffle; no shard is ever sorted or windowed in one task.
+before the shuffle; no shard is ever sorted or windowed in one task. Where a bound per shard
+is joined back, that small table is written to the work folder when the function is called.
 """
 
 from __future__ import annotations
@@ -9,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from searchloom.sinks import tables
+
 
 def stable_prefix(rows: DataFrame, cutoff: int) -> DataFrame:
     """Rows below the first id of their shard that was created after ``cutoff``.
@@ -21,9 +24,9 @@ def stable_prefix(rows: DataFrame, cutoff: int) -> DataFrame:
         .groupBy("shard_table")
         .agg(F.min("id").alias("first_unstable"))
     )
-    # one row per shard table of the job configuration
+    # one row per shard; written first, so the planner knows the size and need not shuffle the rows
     return (
-        rows.join(F.broadcast(fresh), "shard_table", "left")
+        rows.join(tables.staged(fresh, "first-unstable"), "shard_table", "left")
         .where(F.col("first_unstable").isNull() | (F.col("id") < F.col("first_unstable")))
         .drop("first_unstable")
     )
@@ -102,9 +105,10 @@ def commit_points(items: DataFrame) -> DataFrame:
     stops = items.groupBy("topic", "partition").agg(
         F.min(F.when(transient, F.col("offset"))).alias("first_transient")
     )
-    # one row per stream partition; the planner broadcasts it after measuring it
+    # one row per stream partition; written first, so the planner knows the size and need not
+    # gather a crowded partition in one task
     return (
-        items.join(stops, ["topic", "partition"])
+        items.join(tables.staged(stops, "first-transient"), ["topic", "partition"])
         .where(F.col("first_transient").isNull() | (F.col("offset") < F.col("first_transient")))
         .groupBy("topic", "partition")
         .agg(F.max("offset").alias("commit_offset"))
