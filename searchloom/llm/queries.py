@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import decontaminate
+from searchloom.llm import decontaminate, secret_scan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,21 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
 
 
-QUERIES: dict[str, Query] = {"op2_decontaminate": op2_decontaminate}
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(_table(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES: dict[str, Query] = {
+    "op2_decontaminate": op2_decontaminate,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_token_counts": op5_token_counts,
+}
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
