@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchloom.llm.texts import ASCII_GAPS, ascii_lower, hex_digest, split_words, whole
+from searchloom.llm.texts import ASCII_GAPS, CASED_GAPS, ascii_lower, hex_digest, row_of, split_words, whole
 from searchloom.sinks.tables import staged
 
 WINDOW_WORDS = 10
@@ -65,7 +65,7 @@ def hits(documents: DataFrame, benchmark: DataFrame, keep: list[str], *, text_co
     table = F.broadcast(windows) if (facts["bytes"] or 0) <= MAX_BROADCAST_BYTES else windows
 
     words = F.col("words")
-    docs = documents.select(F.struct(*[F.col(c) for c in keep]).alias("kept"), words_of(text_col).alias("words"))
+    docs = documents.select(row_of(keep).alias("kept"), words_of(text_col).alias("words"))
     docs = docs.withColumn("row", F.monotonically_increasing_id())
     # the last, null key keeps a row for every document
     keys = F.concat(*[_keys(words, k) for k in lengths], F.array(F.lit(None).cast("bigint")))
@@ -120,7 +120,7 @@ def without_spans(documents: DataFrame, benchmark: DataFrame, *, text_col: str =
     names = documents.columns
     found = hits(documents, benchmark, names, text_col=text_col, **columns)
     text = F.coalesce(F.col("kept")[text_col], F.lit(""))
-    words, gaps = split_words(text, ASCII_GAPS), F.split(text, ASCII_GAPS.replace("[", "[^", 1), -1)
+    words, gaps = split_words(text, CASED_GAPS), F.split(text, CASED_GAPS.replace("[", "[^", 1), -1)
     hit = lambda i: F.exists("spans", lambda s: (s["start"] <= i) & (i < s["start"] + s["length"]))
     parts = F.transform(gaps, lambda gap, i: F.concat(gap, F.when(hit(i), "").otherwise(F.coalesce(F.get(words, i), F.lit("")))))
     text = F.when(F.size("spans") == 0, F.col("kept")[text_col]).otherwise(F.array_join(parts, ""))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import decontaminate, secret_scan, token_counts
+from searchloom.llm import decontaminate, pii, quality, secret_scan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,10 +29,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_table(spark, sf_dir, "documents"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_secret_scan": op4_secret_scan,
     "op5_token_counts": op5_token_counts,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_personal_data": op10_personal_data,
 }
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchloom.llm.texts import hex_digest, whole
+from searchloom.llm.texts import hex_digest, row_of, whole
 from searchloom.sinks.tables import staged
 
 # fixed values of the base patterns
@@ -163,7 +163,7 @@ def _of_kind(kind: str) -> Column:
 def scanned(documents: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
     """Per row: ``keep``, the pattern spans and the tested candidates."""
     text = F.col("_text")
-    source = documents.select(F.struct(*[F.col(c) for c in keep]).alias("kept"), whole(text_col).alias("_text"))
+    source = documents.select(row_of(keep).alias("kept"), whole(text_col).alias("_text"))
     found = source.select(
         "kept",
         F.filter(_matches(text, ASSIGN, 2), lambda s: F.length(s["part"]) >= ASSIGN_MIN).alias("assign"),

@@ -6,8 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: what separates words of letters and digits: every other ASCII character
+#: what separates words of lower-cased letters and digits: every other ASCII character
 ASCII_GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: the same before lower-casing
+CASED_GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: what separates words cut at white space
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -31,9 +33,11 @@ def hex_digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def spaced(name: str, taken: list[str]) -> str:
-    """A column name that no given column has, in any case."""
-    used = {c.lower() for c in taken}
-    while name.lower() in used:
-        name = "_" + name
-    return name
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and quotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def row_of(names: list[str]) -> Column:
+    """All columns as one struct, so that no name of theirs can clash with a helper column."""
+    return F.struct(*[named(c) for c in names])
