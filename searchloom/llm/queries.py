@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import decontaminate, pii, quality, secret_scan, token_counts
+from searchloom.llm import decontaminate, near_dedup, pii, quality, secret_scan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # rows sent to Python at a time: texts are long, and an executor holds several batches
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -29,6 +31,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.report(_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +47,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_secret_scan": op4_secret_scan,
     "op5_token_counts": op5_token_counts,
+    "op7_near_dedup": op7_near_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_personal_data": op10_personal_data,
 }
