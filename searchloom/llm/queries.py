@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import decontaminate, near_dedup, pii, quality, secret_scan, token_counts
+from searchloom.llm import decontaminate, line_dedup, near_dedup, pii, quality, secret_scan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.report(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_token_counts": op5_token_counts,
     "op7_near_dedup": op7_near_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_personal_data": op10_personal_data,
 }
