@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import decontaminate, line_dedup, near_dedup, pii, quality, secret_scan, token_counts
+from searchloom.llm import decontaminate, line_dedup, mixing, mixing_sql, near_dedup, pii, quality, secret_scan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(_table(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.report(_table(spark, sf_dir, "documents"), words=4, percent=80)
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_secret_scan": op4_secret_scan,
     "op5_token_counts": op5_token_counts,
+    "op6_mixing": op6_mixing,
     "op7_near_dedup": op7_near_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
@@ -61,6 +66,7 @@ _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijk
 _WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
+    "op6_mixing": mixing_sql.twin(),
     "op2_decontaminate": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
