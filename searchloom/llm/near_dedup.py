@@ -7,9 +7,9 @@
    smallest one; pairs whose signatures agree too little go, the rest are confirmed on the full
    sets of their texts. Components of confirmed links follow by large-star and small-star.
 4. A bucket that now lies in one component cannot add anything. In the others, classes outside the
-   bucket's largest component are compared with all classes of other components in blocks of
-   signatures, and what agrees is confirmed too. So every pair of a bucket has been tested or
-   is known to be connected, without listing the pairs of a group.
+   bucket's largest component meet all classes of other components block by block. A block compares
+   signatures, confirms on full sets, and gives at most one link for two components. So every
+   pair of a bucket has been tested or is known to be connected, and no pairs are listed.
 
 With 30 bands of 5 rows a pair of similarity 0.8 shares no band with a chance below 1 in 100,000.
 A signature of a pair of that similarity falls below ``SLACK`` of the threshold with a chance of
@@ -43,7 +43,7 @@ BANDS, ROWS = 30, 5
 SLACK = 0.83
 BATCH = 128
 #: classes of a bucket that meet in one block
-BLOCK = 256
+BLOCK = 128
 #: ids up to this many are broadcast to pick out texts (8 bytes each); more are joined by shuffle
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -118,6 +118,11 @@ class _Sets:
         return found
 
 
+def _enough(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough: 100 * common >= percent * union."""
 
@@ -127,22 +132,24 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
             keep = []
             for a, b in zip(batch.column(2), batch.column(3)):
                 x, y = sets.of(a.as_py()), sets.of(b.as_py())
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                keep.append(_enough(x, y, percent))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     pairs = staged(pairs, "near-pairs")
     ids = staged(pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct(), "near-ids")
-    ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-    # only texts that a pair names are moved
-    needed = texts.join(ids, "id", "left_semi")
+    needed = _texts_of(ids, texts)
     both = pairs.join(needed.select(F.col("id").alias("u"), F.col("text").alias("a")), "u").join(needed.select(F.col("id").alias("v"), F.col("text").alias("b")), "v")
     kind = pairs.schema["u"].dataType.simpleString()
     return both.select("u", "v", "a", "b").mapInArrow(check, f"u {kind}, v {kind}").distinct()
 
 
-def _rest(shared: DataFrame, found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of different components that share a bucket and agree, block by block.
+def _texts_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The texts of the staged ids; only those are moved."""
+    return texts.join(F.broadcast(nodes) if nodes.count() <= MAX_BROADCAST_IDS else nodes, "id", "left_semi")
+
+
+def _rest(shared: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (u, v) between classes of different components that share a bucket, block by block.
 
     A bucket's classes outside its largest component meet all others. Buckets of the same
     classes count once.
@@ -155,26 +162,43 @@ def _rest(shared: DataFrame, found: DataFrame, classes: DataFrame, percent: int)
     open_ = open_.where("parts > 1 and n > 2")
     rows = rows.join(open_, "key")
     same = rows.groupBy("key").agg(F.bit_xor(F.xxhash64("node")).alias("mark"), F.first("n").alias("n")).groupBy("mark", "n").agg(F.min("key").alias("key"))
-    rows = staged(rows.join(same.select("key"), "key", "left_semi").join(classes.select("node", "sig"), "node"), "near-open")
+    rows = staged(rows.join(same.select("key"), "key", "left_semi"), "near-open")
+    ids = staged(rows.select(F.col("node").alias("id")).distinct(), "near-ids")
+    known = classes.join(ids.withColumnRenamed("id", "node"), "node", "left_semi").select("node", "sig").join(_texts_of(ids, texts).withColumnRenamed("id", "node"), "node")
+    known = known.groupBy("node").agg(F.first("sig").alias("sig"), F.first("text").alias("text"))
+    rows = rows.join(known, "node")
     split = lambda n: F.ceil(n / BLOCK).cast("int")
     outer, all_ = split(F.col("n") - F.col("most")), split(F.col("n"))
     place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = rows.where(F.col("component") != F.col("main")).select("key", "node", "component", "sig", F.lit(True).alias("left"), place(outer).alias("i"), each(all_).alias("j"))
-    right = rows.select("key", "node", "component", "sig", F.lit(False).alias("left"), place(all_).alias("j"), each(outer).alias("i"))
+    each = lambda n: F.sequence(F.lit(0), n - 1)
+    # each row once for every block that it takes part in, on the left, the right or both
+    as_left = F.when(F.col("component") != F.col("main"), F.transform(each(all_), lambda j: F.struct(place(outer).alias("i"), j.alias("j"), F.lit(True).alias("left"))))
+    as_right = F.transform(each(outer), lambda i: F.struct(i.alias("i"), place(all_).alias("j"), F.lit(False).alias("left")))
+    none = F.array().cast("array<struct<i:int,j:int,left:boolean>>")
+    rows = rows.select("key", "node", "component", "sig", "text", F.explode(F.concat(F.coalesce(as_left, none), as_right)).alias("at"))
+    rows = rows.select("key", "at.i", "at.j", "at.left", "node", "component", "sig", "text")
     least = _least_agreeing(percent)
 
     def meet(block: pd.DataFrame) -> pd.DataFrame:
         sigs = np.frombuffer(b"".join(block["sig"]), np.uint32).reshape(len(block), -1)
-        side, parts, nodes = block["left"].to_numpy(), block["component"].to_numpy(), block["node"].to_numpy()
-        there, us, vs = np.flatnonzero(~side), [], []
+        side, nodes, texts = block["left"].to_numpy(), block["node"].to_numpy(), block["text"].to_numpy()
+        parts = pd.factorize(block["component"])[0]
+        sets: dict[int, np.ndarray] = {}
+
+        def shingles_of(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = shingles.shingle_sets([texts[row]], words)[0]
+            return sets[row]
+
+        there, links = np.flatnonzero(~side), []
         for i in np.flatnonzero(side):
-            fits = there[(parts[there] != parts[i]) & ((sigs[there] == sigs[i]).sum(axis=1) >= least)]
-            us.extend(min(nodes[i], nodes[j]) for j in fits)
-            vs.extend(max(nodes[i], nodes[j]) for j in fits)
-        return pd.DataFrame({"u": us, "v": vs})
+            for j in there[(parts[there] != parts[i]) & ((sigs[there] == sigs[i]).sum(axis=1) >= least)]:
+                if parts[i] != parts[j] and _enough(shingles_of(i), shingles_of(j), percent):
+                    links.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+                    parts[parts == parts[j]] = parts[i]
+        return pd.DataFrame(links, columns=["u", "v"])
 
-    return left.unionByName(right).groupBy("key", "i", "j").applyInPandas(meet, f"u {kind}, v {kind}").where("u < v").distinct()
+    return rows.groupBy("key", "i", "j").applyInPandas(meet, f"u {kind}, v {kind}").distinct()
 
 
 def report(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -196,7 +220,7 @@ def report(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = nodes.join(several.select("id", "u"), "id").where("u < node").select("u", F.col("node").alias("v"))
     links = staged(links.union(own), "near-links")
     found = components(links)
-    more = staged(_confirmed(_rest(shared, found, classes, percent), texts, words, percent), "near-more")
+    more = staged(_rest(shared, found, classes, texts, words, percent), "near-more")
     if not more.isEmpty():
         found = components(links.union(more))
 
