@@ -6,53 +6,67 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import decontaminate, line_dedup, mixing, mixing_sql, near_dedup, pii, quality, secret_scan, token_counts
+from searchloom.llm import decontaminate, licenses, line_dedup, mixing, mixing_sql, near_dedup, pii, quality, secret_scan, token_counts, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # rows sent to Python at a time: texts are long, and an executor holds several batches
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: fixed values of the url rules
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.report(_table(spark, sf_dir, "documents"))
+    return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.report(_table(spark, sf_dir, "documents"))
+    return mixing.report(table(spark, sf_dir, "documents"))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.report(_table(spark, sf_dir, "documents"), words=4, percent=80)
+    return near_dedup.report(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(_table(spark, sf_dir, "documents"))
+    return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.report(_table(spark, sf_dir, "documents"))
+    return quality.report(table(spark, sf_dir, "documents"))
 
 
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.report(_table(spark, sf_dir, "documents"))
+    return pii.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_templates": op1_url_templates,
     "op2_decontaminate": op2_decontaminate,
+    "op3_license_scan": op3_license_scan,
     "op4_secret_scan": op4_secret_scan,
     "op5_token_counts": op5_token_counts,
     "op6_mixing": op6_mixing,
