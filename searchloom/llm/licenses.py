@@ -1,15 +1,14 @@
 """License scans: parts of a text against licence templates by Dice over word bigrams.
 
 A template, and a text line by line, become lower-case words and their bigrams. A line belongs to
-a template if at least half of its bigrams are the template's; neighbouring lines of one template,
-blank ones between them aside, form a part. A part is scored only if its size can reach the
-threshold at all: with ``a`` and ``b`` bigrams Dice is at most ``2 min(a, b) / (a + b)``. Of
+a template if at least half of its bigrams are the template's (the one across the line break
+included); neighbouring lines of one template, blank ones between them aside, form a part. A part,
+also with one more line at either end, is scored only if its size can reach the threshold at all: with ``a`` and ``b`` bigrams Dice is at most ``2 min(a, b) / (a + b)``. Of
 templates that match overlapping parts the best one stays.
 
 Texts are read in Python within their partition; templates are a few constants.
 
-Defined cases: a null text is an empty one and holds no licence. Lines of one word have no bigram;
-they belong to no part and end it. Repeated rows and rows without id give one result each. Empty
+Defined cases: a null text is an empty one and holds no licence. Repeated rows and rows without id give one result each. Empty
 tables give no rows.
 """
 
@@ -57,14 +56,17 @@ class Scanner:
     def _parts(self, lines: list[str]) -> Iterator[tuple[str, int, int]]:
         """(template, first line, line after the last) of neighbouring lines that belong to a template."""
         open_: dict[str, tuple[int, int]] = {}
+        last: list[str] = []
         for n, line in enumerate(lines):
             words = _WORD.findall(line.lower())
             if not words:
                 continue
             hits: Counter = Counter()
-            for gram in zip(words, words[1:]):
+            # the bigram across the line break is this line's
+            for gram in zip(last + words, (last + words)[1:]):
                 hits.update(self._owners.get(gram, ()))
             mine = {name for name, k in hits.items() if 2 * k >= len(words) - 1 and len(words) - 1 <= self._bounds[name][1]}
+            last = words[-1:]
             for name in [x for x in open_ if x not in mine]:
                 yield name, *open_.pop(name)
             for name in mine:
@@ -74,11 +76,13 @@ class Scanner:
     def scan(self, text: str) -> list[tuple[str, int, int, float]]:
         """(template, first line, line after the last, Dice), by first line."""
         lines, found = _BREAK.split(text), []
-        for name, a, b in self._parts(lines):
-            part = bigrams("\n".join(lines[a:b]))
+        for name, first, end in self._parts(lines):
             low, high = self._bounds[name]
-            if low <= part.total() <= high and (score := dice(part, self._grams[name])) >= self._threshold:
-                found.append((name, a, b, score))
+            # a line at either end may hold a single word of the licence
+            for a, b in {(first, end), (max(0, first - 1), end), (first, min(end + 1, len(lines)))}:
+                part = bigrams("\n".join(lines[a:b]))
+                if low <= part.total() <= high and (score := dice(part, self._grams[name])) >= self._threshold:
+                    found.append((name, a, b, score))
         best: list[tuple[str, int, int, float]] = []
         for x in sorted(found, key=lambda x: (-x[3], x[1] - x[2], x[0])):
             if all(x[2] <= y[1] or y[2] <= x[1] for y in best):
