@@ -1,0 +1,112 @@
+import random
+from collections import defaultdict
+from hashlib import sha256
+
+import pytest
+from test_decontaminate import brute as contaminated
+from test_line_dedup import brute as lost_lines
+from test_mixing import fit
+from test_near_dedup import brute as near
+from test_quality import brute as measured
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from searchloom.llm import mixing
+
+
+def fixture():
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, line(30)) for i in range(4)]
+    shared = line(15)
+    docs = []
+    for i in range(70):
+        lines = [line(rng.randrange(12, 30)) for _ in range(rng.randrange(3, 6))]
+        if i % 7 == 0:
+            lines.insert(1, shared)
+        if i % 10 == 3:
+            lines.append(" ".join(items[i % 4][1].split()[3:18]))
+        if i % 12 == 5:
+            lines = [x + " | # |" for x in lines] + ["| " * 40]
+        docs.append("\n".join(lines))
+    # copies, copies with other line ends, short ones, and a copy of the words of one in other lines
+    docs += [docs[4], docs[4], docs[8].replace(" ", "  ", 3), "too short", docs[11] + "\n" + line(14), docs[12].replace("\n", " ")]
+    rows = [(i, t, rng.choice(["en", "de"]), rng.choice(["s0", "s1", "s0"]), len(t)) for i, t in enumerate(docs)]
+    rng.shuffle(rows)
+    return rows + [(900, None, "en", "s0", 0)], items
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    rows, items = fixture()
+    folder = tmp_path_factory.mktemp("corpus")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder), rows, items
+
+
+def clean(rows):
+    """What quality rules keep: the base rules, and not too many signs."""
+    for r in rows:
+        n, _, symbols, _, _, failed = measured(r[1])
+        if not failed and symbols * 10 <= n:
+            yield r
+
+
+def dedup(rows):
+    for r, lost in zip(rows, lost_lines([(r[0], r[1]) for r in rows])):
+        left = "\n".join(x for n, x in enumerate(r[1].split("\n")) if n not in lost)
+        if left.strip():
+            yield (r[0], left, *r[2:4], len(left))
+
+
+def one_each(rows):
+    kept = {doc for doc, _, _, keep in near([(r[0], r[1]) for r in rows], 5, 80) if keep}
+    return [r for r in rows if r[0] in kept]
+
+
+def mixed(rows):
+    def topic(t):
+        if "|" in t:
+            return "table"
+        return "contact" if "@" in t else "notice" if "licens" in t.lower() else "short lines" if t.count("\n") * 200 > len(t) else "prose"
+
+    cells, goals = defaultdict(int), []
+    for r in rows:
+        cells[r[3], r[2], topic(r[1])] += len(r[1].split())
+    for k in range(3):
+        sums = defaultdict(int)
+        for c, n in cells.items():
+            sums[c[k]] += n
+        powers = {v: n**mixing.TEMPERATURE for v, n in sums.items()}
+        goals.append({v: p / sum(powers.values()) for v, p in powers.items()})
+    w, total = fit(cells, goals), sum(cells.values())
+    for r in rows:
+        c = r[3], r[2], topic(r[1])
+        if int(sha256(f"mix:{r[0]}".encode()).hexdigest()[:13], 16) / 2**52 < w[c] * total * mixing.FRACTION / cells[c]:
+            yield r
+
+
+def test_run_matches_stages_by_brute_force(spark, tables):
+    folder, rows, items = tables
+    a = sorted(clean(rows))
+    b = list(dedup(a))
+    c = one_each(b)
+    d = [r for r in c if not contaminated(r[1], items)[4]]
+    e = list(mixed(d))
+    assert len(rows) > len(a) > len(b) > len(c) > len(d) > len(e) > 20
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for (_, stage), want in zip(corpus_pipeline.STAGES, (a, b, c, d, e)):
+        got = stage(spark, docs, folder)
+        assert got.columns == docs.columns and got.schema.simpleString() == docs.schema.simpleString()
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        docs = spark.createDataFrame(want, docs.schema)
+    assert sorted(map(tuple, entry.queries()["pipeline"](spark, folder).collect())) == sorted(e)
+
+
+def test_stages_take_empty_tables(spark, tables):
+    folder, _, _ = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 0")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, folder).collect() == []
