@@ -200,7 +200,8 @@ letters AS (SELECT shard_table AS tbl, id, message_id, payload, created_unix AS
 
 def _html_text(col: str) -> str:
     t = f"regexp_replace({col}, '<!--.*?-->', ' ', 'gs')"
-    t = f"regexp_replace({t}, '(?is)<(head|script|style|noscript)\\b[^>]*>.*?</(head|script|style|noscript)\\s*>', ' ', 'g')"
+    for tag in ("script", "style", "noscript", "head"):
+        t = f"regexp_replace({t}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
     t = f"regexp_replace({t}, '(?i)<(br|hr|/p|/div|/li|/ul|/ol|/tr|/table|/h[1-6]|/section|/article|/nav|/header|/footer|/blockquote|/pre)\\b[^>]*>', chr(10), 'g')"
     t = f"regexp_replace({t}, '<[^>]+>', '', 'g')"
     for name, char in HTML_ENTITIES:
@@ -215,8 +216,8 @@ def _cut(col: str, n: int) -> str:
     return f"CASE WHEN strlen({col}) <= {n} THEN {col} ELSE coalesce({cuts}) END"
 
 
-_EXT = """CASE WHEN lower(trim(coalesce(extension, ''))) <> '' THEN lower(trim(extension))
-  ELSE lower(regexp_extract(coalesce(name, ''), '(\\.[^./]*)$', 1)) END"""
+_EXT = r"""CASE WHEN regexp_replace(coalesce(extension, ''), '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') <> '' THEN lower(regexp_replace(extension, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'))
+  ELSE lower(regexp_extract(coalesce(name, ''), '(\.[^./]*)$', 1)) END"""
 
 
 def _dotted(e: str) -> str:
@@ -243,7 +244,7 @@ store AS ({file_bytes_sql()}),
 f3 AS (SELECT f2.*, store.body, CASE WHEN mime = 'text/html' THEN {_html_text('store.body')} WHEN mime IN {PLAIN} THEN store.body END AS whole
   FROM f2 LEFT JOIN store ON f2.url = store.url AND f2.refused IS NULL),
 outcomes AS (SELECT message_id, url, ext, size, CASE WHEN refused IS NOT NULL THEN refused WHEN body IS NULL THEN 'download_failed'
-   WHEN whole IS NULL THEN 'extract_error' WHEN regexp_matches(whole, '^[\\s\\p{{Z}}]*$') THEN 'empty_extract' ELSE 'ok' END AS outcome, whole FROM f3),
+   WHEN whole IS NULL THEN 'no_extractor' WHEN regexp_matches({_cut('whole', MAX_CONTENT)}, '^[\\s\\p{{Z}}]*$') THEN 'empty_extract' ELSE 'ok' END AS outcome, whole FROM f3),
 extracted AS (SELECT message_id, url, ext, size, outcome, CASE WHEN outcome = 'ok' THEN {_cut('whole', MAX_CONTENT)} END AS content,
    CASE WHEN outcome = 'ok' THEN strlen(whole) > {MAX_CONTENT} END AS truncated FROM outcomes)"""
 

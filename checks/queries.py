@@ -410,6 +410,25 @@ def _(spark, sf):
     return docs.select("doc_id", textx.is_blank(F.regexp_replace("text", r"[^\s\p{Z}\p{N}]", "")).alias("blank"))
 
 
+def _reversed_text(batches):
+    """A stand-in for an external extractor: the bytes as text, backwards, with the extension it was asked for."""
+    for batch in batches:
+        text = [bytes(b).decode("utf-8", "replace")[::-1][:200] + e for b, e in zip(batch["body"], batch["ext"])]
+        yield batch[["url"]].assign(content=text, error_kind=None, extract_ms=1)
+
+
+# the same stored file asked for under two extensions that only a plug-in reads
+@query("extract_plugin", f"""WITH store AS ({driver_tables.file_bytes_sql()}), both_ AS (SELECT url, body, ext FROM store, (VALUES ('.pdf'), ('.docx')) e(ext))
+  SELECT concat(url, ext) AS message_id, 'ok' AS outcome, concat(reverse(body)[1:200], ext) AS content FROM both_ WHERE url LIKE 'https://files.example.com/%'""")
+def _(spark, sf):
+    bodies = driver_tables.file_bytes(spark, sf).where("url LIKE 'https://files.example.com/%'")
+    wanted = bodies.select("url", F.explode(F.array(F.lit(".pdf"), F.lit(".docx"))).alias("extension")).select(
+        F.concat("url", "extension").alias("message_id"), "url", F.lit(None).cast("string").alias("name"), "extension", F.lit(None).cast("bigint").alias("size")
+    )
+    out = files.extract_files(tables.staged(wanted, "wanted"), bodies, O.HOSTS, extractor=_reversed_text)
+    return out.select("message_id", "outcome", "content")
+
+
 @query("extract_route", O.X + "SELECT message_id, ext, outcome, content, truncated FROM extracted")
 def _(spark, sf):
     return outcomes_of(spark, sf).select("message_id", "ext", "outcome", "content", "truncated")
@@ -495,7 +514,7 @@ def _(spark, sf):
     _DELIVERY + f"""SELECT CASE WHEN status = 404 THEN '{C.INDEXER_SCHEMA}' ELSE '{C.INDEXER_PERMANENT}' END AS reason, topic, partition, "offset",
     message_id AS key, CASE WHEN strlen(payload) <= {O.SMALL_DLQ} THEN payload END AS value, CASE WHEN status = 404 THEN 0 ELSE status END AS status,
     concat_ws('; ', CASE WHEN status <> 404 THEN concat('status ', CAST(status AS VARCHAR)) END, CASE WHEN strlen(payload) > {O.SMALL_DLQ}
-      THEN concat('payload truncated (orig ', CAST(strlen(payload) AS VARCHAR), ' bytes > {O.SMALL_DLQ}); replay must re-fetch from source by messageId(=key)') END) AS detail,
+      THEN concat('value left out: ', CAST(strlen(payload) AS VARCHAR), ' bytes are over {O.SMALL_DLQ}; for a replay fetch the message of this key from its source') END) AS detail,
     strlen(payload) > {O.SMALL_DLQ} AS payload_truncated FROM dd JOIN (SELECT shard_table AS partition, id AS "offset", payload FROM src) USING (partition, "offset") WHERE disposition = 'dlq_resolved'""",
 )
 def _(spark, sf):
@@ -794,7 +813,8 @@ def drifted_of(spark, sf):
 
 def expected_of(spark, sf, limit=None):
     excluded = deadletters.window_ids(letters_of(spark, sf), 0, 2**40)
-    return recon.comparable_sample(recon.expected_fields(rows_of(spark, sf)), excluded, 0, 2**40, limit)
+    picked = recon.comparable_sample(rows_of(spark, sf), excluded, 0, 2**40, limit)
+    return tables.staged(recon.expected_fields(picked), "expected")
 
 
 @query("sample_compare", _CMP + "SELECT * FROM details")
@@ -1069,15 +1089,11 @@ def stream_folder(spark, sf, root):
         F.lit("messages").alias("topic"), F.lit(0).alias("partition"), "offset", F.col("shard_table").cast("binary").alias("key"),
         bad_values.alias("value"),
     ).withColumn("value", F.col("value").cast("binary"))
-    records.unionByName(poison).repartition(4, "partition").write.parquet(f"{root}/stream")
+    records.unionByName(poison).repartitionByRange("partition", "offset").write.parquet(f"{root}/stream")
     return f"{root}/stream"
 
 
-# records inline their payload as compact JSON
-_COMPACT = _FLAT.replace("payload_raw", """replace(payload_raw, '{"k": ', '{"k":') AS payload_raw""")
-
-
-@query("index_stream", O.D + f"SELECT {_COMPACT} FROM docs")
+@query("index_stream", O.D + f"SELECT {_FLAT} FROM docs")
 def _(spark, sf):
     root = new_work_dir(spark, "index-stream")
     store = DocumentStore(spark, f"{root}/docs", **SLOTS)
@@ -1099,25 +1115,22 @@ def _(spark, sf):
 _FILE_RESULT = O.X + """SELECT message_id AS doc_id, outcome, whole IS NOT NULL AND outcome = 'ok' AS has_content FROM (SELECT message_id, outcome, whole FROM outcomes)"""
 
 
-# the stream leg takes a declared size only from a number, and these files declare it as text or small
-@query("file_stream", _FILE_RESULT.replace("file_size AS size", "CAST(NULL AS BIGINT) AS size"))
+@query("file_stream", _FILE_RESULT + f""" UNION ALL SELECT shard_table, '{C.FILE_PARSE}', NULL FROM (SELECT DISTINCT shard_table FROM src)""")
 def _(spark, sf):
     """The index leg first, then the file leg over the same stream."""
     root = new_work_dir(spark, "file-stream")
     store = DocumentStore(spark, f"{root}/docs", **SLOTS)
     folder = stream_folder(spark, sf, root)
     indexing.start(streams.file_stream(spark, folder), store, f"{root}/dlq", f"{root}/progress").awaitTermination()
-    bodies = driver_tables.file_bytes(spark, sf)
-    extraction.start(
-        streams.file_stream(spark, folder, max_files=2), store, bodies, O.HOSTS, f"{root}/files", f"{root}/file-progress", lambda: NOW
-    ).awaitTermination()
-    dead = tables.read_runs(spark, f"{root}/files/dlq", extraction.LETTER_DDL).where(F.col("reason") != C.FILE_PARSE)
-    docs = store.read().where("payload.type = 8").select(
-        F.col("_id").alias("doc_id"), F.col("payload.file.content").isNotNull().alias("has_content")
-    )
-    return docs.join(dead.select(F.col("message_id").alias("doc_id"), "reason"), "doc_id", "left").select(
-        "doc_id", F.coalesce("reason", F.lit("ok")).alias("outcome"), "has_content"
-    )
+    leg = extraction.FileLeg(store, driver_tables.file_bytes(spark, sf), O.HOSTS, f"{root}/files")
+    extraction.start(streams.file_stream(spark, folder, max_files=4), leg, f"{root}/file-progress", lambda: NOW).awaitTermination()
+    dead = leg.letters().select(F.col("messageId").alias("doc_id"), "reason")
+    docs = store.read().where("payload.type = 8").select(F.col("_id").alias("doc_id"), F.col("payload.file.content").isNotNull().alias("has_content"))
+    # neither text nor letter: the format waits for a plug-in
+    open_ = F.when(F.col("has_content"), F.lit("ok")).otherwise(F.lit(files.NO_EXTRACTOR))
+    rows = docs.join(dead, "doc_id", "left").select("doc_id", F.coalesce("reason", open_).alias("outcome"), "has_content")
+    junk = dead.where(F.col("reason") == C.FILE_PARSE).select("doc_id", F.col("reason").alias("outcome"), F.lit(None).cast("boolean").alias("has_content"))
+    return rows.unionByName(junk)
 
 
 @query("file_backfill", _FILE_RESULT)

@@ -11,6 +11,11 @@ BLANK = r"^[\s\p{Z}]*$"
 WORDS = r"[\p{IsHan}]+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
 
 
+def trimmed(text: Column) -> Column:
+    """Without Unicode spaces at either end."""
+    return F.regexp_replace(text, r"^[\s\x{85}\p{Z}]+|[\s\x{85}\p{Z}]+$", "")
+
+
 def is_blank(text: Column) -> Column:
     """Empty or only Unicode spaces."""
     return text.rlike(BLANK)
@@ -24,7 +29,7 @@ def extension_name_first(extension: Column, name: Column) -> Column:
 
 def extension_field_first(extension: Column, name: Column) -> Column:
     """Lower-case extension with its dot: the given one, else the one of the name."""
-    given = F.lower(F.trim(F.coalesce(extension, F.lit(""))))
+    given = F.lower(trimmed(F.coalesce(extension, F.lit(""))))
     of_name = F.lower(F.regexp_extract(F.coalesce(name, F.lit("")), r"(\.[^./]*)$", 1))
     ext = F.when(given != "", given).otherwise(of_name)
     return F.when((ext == "") | ext.startswith("."), ext).otherwise(F.concat(F.lit("."), ext))
@@ -32,7 +37,7 @@ def extension_field_first(extension: Column, name: Column) -> Column:
 
 def mime_type(ext: Column) -> Column:
     """MIME type of an extension given with or without its dot."""
-    e = F.lower(F.trim(F.coalesce(ext, F.lit(""))))
+    e = F.lower(trimmed(F.coalesce(ext, F.lit(""))))
     dotted = F.when((e == "") | e.startswith("."), e).otherwise(F.concat(F.lit("."), e))
     pairs = [F.lit(x) for kv in MIME_TYPES.items() for x in kv]
     return F.coalesce(F.element_at(F.create_map(*pairs), dotted), F.lit(DEFAULT_MIME))
@@ -51,7 +56,8 @@ def cut_utf8(text: Column, limit: int) -> Column:
 def html_text(html: Column) -> Column:
     """Visible text of a page: no head, scripts, styles or comments; blocks end lines."""
     t = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
-    t = F.regexp_replace(t, r"(?is)<(head|script|style|noscript)\b[^>]*>.*?</(head|script|style|noscript)\s*>", " ")
+    for tag in HIDDEN_TAGS:
+        t = F.regexp_replace(t, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", " ")
     t = F.regexp_replace(t, r"(?i)<(br|hr|/p|/div|/li|/ul|/ol|/tr|/table|/h[1-6]|/section|/article|/nav|/header|/footer|/blockquote|/pre)\b[^>]*>", "\n")
     t = F.regexp_replace(t, r"<[^>]+>", "")
     for name, char in HTML_ENTITIES:
@@ -61,6 +67,9 @@ def html_text(html: Column) -> Column:
     return F.trim(t, F.lit(" \n"))
 
 
+# a head may hold the others, so it goes last
+HIDDEN_TAGS = ["script", "style", "noscript", "head"]
+
 # fixed values: named characters of pages; the ampersand goes last
 HTML_ENTITIES = [
     ("&lt;", "<"),

@@ -43,8 +43,8 @@ def indexer_letters(items: DataFrame, limit: int = C.MAX_DLQ_PAYLOAD_BYTES) -> D
     note = F.when(
         cut,
         F.concat(
-            F.lit("payload truncated (orig "), size.cast("string"), F.lit(f" bytes > {limit}); "),
-            F.lit("replay must re-fetch from source by messageId(=key)"),
+            F.lit("value left out: "), size.cast("string"), F.lit(f" bytes are over {limit}; "),
+            F.lit("for a replay fetch the message of this key from its source"),
         ),
     )
     return items.select(
@@ -56,6 +56,11 @@ def indexer_letters(items: DataFrame, limit: int = C.MAX_DLQ_PAYLOAD_BYTES) -> D
     )
 
 
+def spilled(letters: DataFrame, now_unix: int, column: str = "spilled_at") -> DataFrame:
+    """The letters with the time at which they are written."""
+    return letters.withColumn(column, F.lit(now_unix).cast("bigint"))
+
+
 def file_letters(items: DataFrame, limit: int = C.MAX_DLQ_PAYLOAD_BYTES) -> DataFrame:
     """Records of the file leg; a long value keeps its first ``limit`` bytes."""
     return items.select(

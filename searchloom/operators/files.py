@@ -14,10 +14,12 @@ from searchloom.functions import jsonx, netx, textx
 NATIVE_LABEL = "spark-sql/1"
 PLAIN_MIMES = ["text/plain", "text/csv", "text/markdown", "application/json", "application/xml", "application/x-yaml"]
 HTML_MIME = "text/html"
+# no plug-in was there to read the format: nothing is wrong with the file, and it stays pending
+NO_EXTRACTOR = "no_extractor"
 FILE_FIELDS = ["type", "url", "name", "extension", "size"]
 
-# a plug-in turns batches of (url, body, ext) into (url, content, error_kind, extract_ms),
-# row by row; error_kind is null, encrypted, extract_timeout or extract_error
+# a plug-in turns batches of (url, body, ext) into (content, error_kind, extract_ms): one row for
+# each row, in the same order; error_kind is null, encrypted, extract_timeout or extract_error
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
@@ -40,8 +42,10 @@ def pending_files(docs: DataFrame) -> DataFrame:
 def file_messages(messages: DataFrame) -> DataFrame:
     """Contract messages whose payload type is the integer 8, with their file fields.
 
-    The cheap text test runs first: almost no message is a file.
+    The cheap text test runs first: almost no message is a file. The place in the stream
+    and the record itself come along where they are there.
     """
+    keep = [c for c in ("topic", "partition", "offset", "key", "value") if c in messages.columns]
     likely = messages.where(F.contains("raw_payload", F.lit("8")))
     opened = jsonx.with_json_object(likely, "raw_payload", "file", FILE_FIELDS, allow_empty=True)
     fields = F.struct(
@@ -49,7 +53,9 @@ def file_messages(messages: DataFrame) -> DataFrame:
         jsonx.string_of(F.col("file.url")).alias("url"),
         jsonx.string_of(F.col("file.name")).alias("name"),
         jsonx.string_of(F.col("file.extension")).alias("extension"),
-        jsonx.integer_of(F.col("file.size")).alias("size"),
+        # as in the document: a number, or a text of one
+        jsonx.zero_as_null(jsonx.integer_or_text_of(F.col("file.size"))).alias("size"),
+        *[F.col(c) for c in keep],
     )
     return opened.select(F.inline(F.when(jsonx.integer_of(F.col("file.type")) == C.TYPE_FILE, F.array(fields))))
 
@@ -75,15 +81,17 @@ def extract(fetched: DataFrame, extractor: Extractor | None = None) -> DataFrame
     """Content and error_kind of (url, ext, body), in one pass over the bytes.
 
     Formats Spark can read by expressions never leave the JVM; the bytes of the others go
-    to the plug-in in Arrow batches, or count as extract_error without one. A null body
-    gives neither content nor error.
+    to the plug-in in Arrow batches, or count as no_extractor without one. A null body
+    gives neither content nor error. Arrow batches are bounded in rows and bytes by
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch``; bodies are
+    already limited by the caller.
     """
     mime = textx.mime_type(F.col("ext"))
     inside = mime.isin([HTML_MIME, *PLAIN_MIMES])
     native = fetched.select(
         "url", "ext",
         native_text(F.col("body"), mime).alias("content"),
-        F.when(~inside & F.col("body").isNotNull(), F.lit("extract_error")).alias("error_kind"),
+        F.when(~inside & F.col("body").isNotNull(), F.lit(NO_EXTRACTOR)).alias("error_kind"),
         F.lit(NATIVE_LABEL).alias("extractor"),
         F.lit(0).cast("bigint").alias("extract_ms"),
         F.when(~inside, F.col("body")).alias("body"),
@@ -94,12 +102,13 @@ def extract(fetched: DataFrame, extractor: Extractor | None = None) -> DataFrame
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            open_ = batch["body"].notna()
-            if open_.any():
-                for done in extractor(iter([batch.loc[open_, ["url", "body", "ext"]]])):
-                    done = done.merge(batch.loc[open_, ["url", "ext"]], on="url")
-                    yield done.assign(extractor=label)[OUT]
-            yield batch.loc[~open_, OUT]
+            open_ = batch.loc[batch["body"].notna(), ["url", "body", "ext"]].reset_index(drop=True)
+            if len(open_):
+                done = pd.concat(list(extractor(iter([open_]))), ignore_index=True)
+                if len(done) != len(open_):
+                    raise ValueError(f"the extractor gave {len(done)} results for {len(open_)} files")
+                yield done.assign(url=open_["url"], ext=open_["ext"], extractor=label)[OUT]
+            yield batch.loc[batch["body"].isna(), OUT]
 
     OUT = ["url", "ext", "content", "error_kind", "extractor", "extract_ms"]
     return native.mapInPandas(
@@ -126,12 +135,14 @@ def extract_files(
     large = F.octet_length("body") > max_file_bytes
     fetched = wanted.join(store, "url").withColumn("large", large)
     texts = extract(fetched.withColumn("body", F.when(~F.col("large"), F.col("body"))), extractor)
-    blank = F.coalesce(textx.is_blank(F.col("content")), F.lit(True))
+    cut = textx.cut_utf8(F.col("content"), max_content_bytes)
+    # what is kept must not be blank
+    blank = F.coalesce(textx.is_blank(cut), F.lit(True))
     results = texts.select(
         "url", "ext",
-        textx.cut_utf8(F.col("content"), max_content_bytes).alias("content"),
+        cut.alias("content"),
         (F.octet_length("content") > max_content_bytes).alias("truncated"),
-        F.when(F.col("error_kind").isin("encrypted", "extract_timeout"), F.col("error_kind"))
+        F.when(F.col("error_kind").isin("encrypted", "extract_timeout", NO_EXTRACTOR), F.col("error_kind"))
         .when(F.col("error_kind").isNotNull(), F.lit("extract_error"))
         .when(F.col("content").isNull(), F.lit("oversize"))
         .when(blank, F.lit("empty_extract"))
@@ -139,19 +150,20 @@ def extract_files(
         "extractor", "extract_ms",
         F.lit(True).alias("found"),
     )
-    # refused before fetching, else gone from the store, else what extraction said
-    reason = F.coalesce("reason", F.when(F.col("found").isNull(), F.lit("download_failed")), "failure")
-    return (
-        checked.join(results, ["url", "ext"], "left")
-        .withColumn("outcome", reason)
-        .select(
-            "message_id", "url", "ext", "size",
-            F.coalesce("outcome", F.lit("ok")).alias("outcome"),
-            F.when(F.col("outcome").isNull(), F.col("content")).alias("content"),
-            F.when(F.col("outcome").isNull(), F.col("truncated")).alias("truncated"),
-            "extractor", "extract_ms",
-        )
-    )
+    # gone from the store, else what extraction said; refused files need nothing from the join
+    reason = F.when(F.col("found").isNull(), F.lit("download_failed")).otherwise(F.col("failure"))
+    rest = [c for c in files.columns if c not in ("message_id", "url", "ext", "size")]
+    tried = checked.where(F.col("reason").isNull()).join(results, ["url", "ext"], "left").withColumn("outcome", reason)
+    refused = checked.where(F.col("reason").isNotNull()).withColumn("outcome", F.col("reason"))
+    good = F.col("outcome").isNull()
+    names = ["message_id", "url", "ext", "size", *rest]
+    return tried.select(
+        *names,
+        F.coalesce("outcome", F.lit("ok")).alias("outcome"),
+        F.when(good, F.col("content")).alias("content"),
+        F.when(good, F.col("truncated")).alias("truncated"),
+        "extractor", "extract_ms",
+    ).unionByName(refused.select(*names, "outcome"), allowMissingColumns=True)
 
 
 def is_permanent(reason: Column) -> Column:
@@ -164,8 +176,8 @@ def backfill_gate(outcomes: DataFrame, dlq_ratio_max: float = 0.10) -> DataFrame
     totals = outcomes.agg(
         F.count(F.lit(1)).alias("scanned"),
         F.count_if(F.col("outcome") == "ok").alias("extracted"),
-        F.count_if(~F.col("outcome").isin("ok", "transient")).alias("dlq"),
-        F.count_if(F.col("outcome") == "transient").alias("transient"),
+        F.count_if(~F.col("outcome").isin("ok", "transient", NO_EXTRACTOR)).alias("dlq"),
+        F.count_if(F.col("outcome").isin("transient", NO_EXTRACTOR)).alias("transient"),
     )
     ratio = F.when(F.col("scanned") > 0, F.col("dlq") / F.col("scanned")).otherwise(F.lit(0.0))
     return totals.withColumn(

@@ -51,6 +51,23 @@ def document_bytes() -> Column:
     return F.octet_length(rest) + F.coalesce(F.octet_length("payloadRaw"), F.lit(0))
 
 
+def request_bytes(docs: str) -> Column:
+    """Encoded size of a message's documents together: the parent and all derived ones go in one request."""
+    def one(d: Column) -> Column:
+        rest = F.to_json(F.struct(*[d[n].alias(n) for n in C.DOC_COLUMNS if n not in ("_id", "payloadRaw")]))
+        return F.octet_length(rest) + F.coalesce(F.octet_length(d["payloadRaw"]), F.lit(0))
+
+    return F.aggregate(docs, F.lit(0).cast("bigint"), lambda acc, d: acc + one(d))
+
+
+def oversize_request(docs: str, limit: int = C.MAX_DOC_BYTES) -> Column:
+    """Whether no request can carry the documents. Encoding them is left out where the texts alone are far below the limit."""
+    raw = F.aggregate(docs, F.lit(0).cast("bigint"), lambda acc, d: acc + F.coalesce(F.octet_length(d["payloadRaw"]), F.lit(0)))
+    # a document repeats no more than its payload, escaped to six times its size at most, besides a few short fields
+    may = raw * 7 + F.size(docs) * 100_000 > limit
+    return F.when(may, request_bytes(docs) > limit).otherwise(F.lit(False))
+
+
 def oversize_documents(docs: DataFrame, limit: int = C.MAX_DOC_BYTES) -> DataFrame:
     """Documents that no request can carry: permanent status 413."""
     return docs.withColumn("doc_bytes", document_bytes()).where(F.col("doc_bytes") > limit).withColumn(

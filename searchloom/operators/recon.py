@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from searchloom.functions import jsonx
 from searchloom.operators.enrich import is_encrypted
+from searchloom.sinks import tables
 
 MAX_DETAILS = 50
 
@@ -93,16 +94,27 @@ def sample(rows: DataFrame, from_unix: int, to_unix: int, limit: int | None) ->
 def comparable_sample(
     rows: DataFrame, excluded: DataFrame, from_unix: int, to_unix: int, limit: int | None
 ) -> DataFrame:
-    """Sample of rows that should have a document: no empty ids, no dead-lettered ids."""
-    kept = rows.where(F.coalesce("message_id", F.lit("")) != "").join(
-        excluded.select("message_id"), "message_id", "left_anti"
-    )
-    return sample(kept, from_unix, to_unix, limit)
+    """Sample of rows that should have a document: no empty ids, no dead-lettered ids.
+
+    Only keys are compared and ranked, so no payload is moved or parsed for it; the few
+    rows picked are then fetched by a semi-join.
+    """
+    inside = rows.where(F.col("created_unix").between(from_unix, to_unix) & (F.coalesce("message_id", F.lit("")) != ""))
+    if limit is None:
+        return inside.join(excluded.select("message_id"), "message_id", "left_anti")
+    keys = inside.select("message_id", "shard_table", "id").join(excluded.select("message_id"), "message_id", "left_anti")
+    picked = tables.staged(keys.orderBy("message_id", "shard_table", "id").limit(limit), "sample-keys")
+    return rows.join(picked, ["message_id", "shard_table", "id"], "left_semi")
 
 
 def compare(expected: DataFrame, docs: DataFrame) -> DataFrame:
-    """One row per field that differs, or a ``_doc`` row where the document is missing."""
-    e, d = expected.alias("e"), docs.alias("d")
+    """One row per field that differs, or a ``_doc`` row where the document is missing.
+
+    ``expected`` is a sample and read twice, so give a written one: the documents are cut down to
+    its ids before they meet it, by a semi-join whose small side the planner can broadcast.
+    """
+    wanted = expected.select(F.col("message_id").alias("_id"))
+    e, d = expected.alias("e"), docs.join(wanted, "_id", "left_semi").alias("d")
     joined = e.join(d, F.col("e.message_id") == F.col("d._id"), "left")
     seen = F.col("d._id").isNotNull()
 

@@ -17,7 +17,8 @@ def stable_prefix(rows: DataFrame, cutoff: int) -> DataFrame:
     """Rows below the first id of their shard that was created after ``cutoff``.
 
     Ids are given before commit, so a younger id may still be invisible behind a row
-    that is too fresh; everything from that row on waits, even if it is older.
+    that is too fresh; everything from that row on waits, even if it is older. ``rows`` is
+    read twice and must not change in between: of a live source, give a written scan.
     """
     fresh = (
         rows.where(F.col("created_unix") > cutoff)

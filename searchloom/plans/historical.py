@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from searchloom import contract as C
-from searchloom.operators import deadletters, documents, enrich, upsert
+from searchloom.operators import deadletters, documents, enrich, limits, upsert
 from searchloom.sinks import tables
-from searchloom.sinks.docstore import DocumentStore
+from searchloom.sinks.docstore import ConcurrentWrite, DocumentStore
 from searchloom.sinks.pointer import VersionedPointer
 from searchloom.sources import shards
 
@@ -36,7 +36,7 @@ class LoadTarget:
         )
 
 
-def judged_rows(rows: DataFrame) -> DataFrame:
+def judged_rows(rows: DataFrame, max_doc_bytes: int = C.MAX_DOC_BYTES) -> DataFrame:
     """Each row with its documents, or the reason it is dead-lettered. No shuffle."""
     routed = enrich.with_route(rows)
     keep = ["shard_table", "id", "message_id", "payload", "created_unix", "outcome", "reason"]
@@ -50,10 +50,13 @@ def judged_rows(rows: DataFrame) -> DataFrame:
         .when(F.col("row_reason").isNotNull(), F.lit(C.LOAD_CONVERT))
         .when(F.col("doc_number").isNull(), F.lit(C.LOAD_CONVERT))
     )
-    return projected.withColumn("reason", refused).select(
+    projected = projected.withColumn("reason", refused).withColumn("docs", F.when(F.col("reason").isNull(), documents.doc_array()))
+    large = F.col("docs").isNotNull() & limits.oversize_request("docs", max_doc_bytes)
+    projected = projected.withColumn("reason", F.when(large, F.lit(C.LOAD_REJECT)).otherwise(F.col("reason")))
+    return projected.select(
         *[F.col(f"row_{k}").alias(k) for k in keep if k != "reason"],
         "reason",
-        F.when(F.col("reason").isNull(), documents.doc_array()).alias("docs"),
+        F.when(F.col("reason").isNull(), F.col("docs")).alias("docs"),
     )
 
 
@@ -86,7 +89,8 @@ def run(rows: DataFrame, target: LoadTarget) -> DataFrame:
         keys=good.select(F.explode("docs.messageId").alias("messageId")),
     )
     tops = staged.groupBy("shard_table").agg(F.max("id")).collect()  # one row per shard
-    target.cursors.commit(version, {**cursors, **{s: top for s, top in tops}})
+    if not target.cursors.commit(version, {**cursors, **{s: top for s, top in tops}}):
+        raise ConcurrentWrite("another load moved the cursors; what was written here is found again by key")
     return staged
 
 

@@ -15,7 +15,7 @@ ROW_KEEP = ["shard_table", "id", "message_id", "channel_id", "channel_type", "pa
 
 
 def planned(rows: DataFrame, now_unix: int, lag: int, limit: int = C.MAX_MESSAGE_BYTES) -> DataFrame:
-    """Stable rows with their message and leg (main or dlq)."""
+    """Stable rows with their message and leg (main or dlq). ``rows`` is read twice: of a live source, give a written scan."""
     gates.require_lag(lag)
     stable = stability.stable_prefix(rows, now_unix - lag)
     routed = enrich.with_route(stable)
@@ -42,9 +42,9 @@ def run_tick(
     by message_id. Returns the cursors now valid.
     """
     version, current = cursors.read()
-    plan = tables.staged(
-        planned(shards.scan(rows, current), now_unix, lag), "tick", partition_by="leg"
-    )
+    # the source is read once: a row committed after the bound was found must not slip in below it
+    seen = tables.staged(shards.scan(rows, current), "tick-rows")
+    plan = tables.staged(planned(seen, now_unix, lag), "tick", partition_by="leg")
     messages = plan.where(F.col("leg") == "main")
     letters = plan.where(F.col("leg") == "dlq").select("row.*", F.col("why").alias("reason"))
     tick = f"{version + 1:012d}"

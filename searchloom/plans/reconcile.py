@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchloom.operators import deadletters, gates, recon
+from searchloom.sinks import tables
 
 
 def verdict(rows: DataFrame, docs: DataFrame, letters: DataFrame, from_unix: int, to_unix: int) -> DataFrame:
@@ -23,7 +24,9 @@ def report(
 ) -> DataFrame:
     """Full report: counts and a field sample of the rows that should have documents."""
     excluded = deadletters.window_ids(letters, from_unix, to_unix)
-    expected = recon.comparable_sample(recon.expected_fields(rows), excluded, from_unix, to_unix, sample)
+    # only ids are compared and ranked; the few rows left are then parsed, once
+    picked = recon.comparable_sample(rows, excluded, from_unix, to_unix, sample)
+    expected = tables.staged(recon.expected_fields(picked), "recon-sample")
     health = recon.sample_health(expected, recon.compare(expected, docs))
     return recon.full_report(verdict(rows, docs, letters, from_unix, to_unix), health)
 

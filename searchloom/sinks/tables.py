@@ -48,3 +48,12 @@ def read_runs(spark: SparkSession, root: str, ddl: str) -> DataFrame:
     if not fs.exists(path) or not fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root + "/run=*")):
         return spark.createDataFrame([], ddl)
     return spark.read.schema(ddl).parquet(root).drop("run")
+
+
+def write_kafka(records: DataFrame, servers: str, **options: str) -> None:
+    """Publish (topic, key, value) to Kafka; keys of one message stay in one partition. Needs the connector on the class path."""
+    writer = records.select("topic", "key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers)
+    # all replicas have a record before it counts, and a retry does not write it twice
+    for name, value in {"kafka.acks": "all", "kafka.enable.idempotence": "true", **options}.items():
+        writer = writer.option(name, value)
+    writer.save()

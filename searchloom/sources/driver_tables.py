@@ -147,21 +147,11 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
 
 
-def _spread(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Deal out rows that come from a handful of small files to all cores.
-
-    Each table here is one file with one row group, which one task would read and then
-    parse alone. Tables of many files keep their own partitions.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows.inputFiles()) <= len(TABLES) else rows
-
-
 def shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All shards as rows of ``contract.ROW_SCHEMA``."""
     sql = _placed(shard_rows_sql("spark"))
     rows = spark.sql(sql, **tables(spark, sf_dir))
-    return _spread(spark, rows).selectExpr(
+    return rows.selectExpr(
         "shard_table", "id", "message_id", "message_seq", "from_uid", "channel_id", "channel_type",
         "setting", "signal", "timestamp", "created_unix", "CAST(payload AS BINARY) AS payload",
     )
@@ -170,7 +160,7 @@ def shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored files: url, body as bytes."""
     rows = spark.sql(_placed(file_bytes_sql()), **tables(spark, sf_dir))
-    return _spread(spark, rows).selectExpr("url", "CAST(body AS BINARY) AS body")
+    return rows.selectExpr("url", "CAST(body AS BINARY) AS body")
 
 
 def _placed(sql: str) -> str:

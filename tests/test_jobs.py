@@ -1,6 +1,7 @@
 """Prefixes, cursors, deliveries, dead letters, reconcile, files, streams."""
 
 import json
+import os
 import tempfile
 
 import pandas as pd
@@ -11,9 +12,9 @@ from searchloom import contract as C
 from searchloom.functions import netx, textx
 from searchloom.operators import deadletters, delivery, documents, enrich, files, gates, limits, recon, search, stability, wire
 from searchloom.plans import cutover, file_backfill, historical, incremental, reconcile
-from searchloom.sinks import tables
+from searchloom.sinks import pointer, tables
 from searchloom.sinks.docstore import ConcurrentWrite, DocumentStore
-from searchloom.sinks.pointer import VersionedPointer
+from searchloom.sinks.pointer import UnreadablePointer, VersionedPointer
 from searchloom.sources import shards, streams
 from searchloom.streaming import extraction, indexing
 from tests.helpers import message, messages, row, rows
@@ -57,9 +58,33 @@ def test_pointer_compares_before_it_sets(spark, root):
     assert p.commit(0, {"a": 1}) and not p.commit(0, {"a": 2}) and p.commit(1, {"a": 3})
     assert p.read() == (2, {"a": 3})
     with open(f"{root}/p/000000000003.json", "w"):
-        pass  # a writer died
-    assert p.read() == (3, {"a": 3})
-    assert p.commit(3, {"a": 4}) and p.read() == (4, {"a": 4})
+        pass  # from a writer of another kind: never step back to an older value
+    with pytest.raises(UnreadablePointer):
+        p.read()
+
+
+def test_a_number_is_never_there_before_its_value(spark, root, monkeypatch):
+    a, b = VersionedPointer(spark, f"{root}/p"), VersionedPointer(spark, f"{root}/p")
+    assert a.commit(0, {"n": 0})
+    name, seen = VersionedPointer._name, []
+
+    def late(self, draft, target):
+        # another job reads and commits between the write and the naming
+        seen.append(b.read())
+        monkeypatch.setattr(VersionedPointer, "_name", name)
+        assert b.commit(seen[0][0], {"n": "b"})
+        name(self, draft, target)
+
+    monkeypatch.setattr(VersionedPointer, "_name", late)
+    assert not a.commit(1, {"n": "a"})
+    assert seen == [(1, {"n": 0})] and a.read() == (2, {"n": "b"})
+
+
+def test_old_versions_go(spark, root, monkeypatch):
+    monkeypatch.setattr(pointer, "KEPT_VERSIONS", 2)
+    p = VersionedPointer(spark, f"{root}/p")
+    assert all(p.commit(i, {"n": i}) for i in range(6)) and p.read() == (6, {"n": 5})
+    assert len([x for x in os.listdir(f"{root}/p") if x.endswith(".json") and not x.startswith(".")]) == 3
 
 
 # ---- delivery ----------------------------------------------------------------------
@@ -131,7 +156,7 @@ def test_letters_drop_or_cut_long_payloads(spark):
     ddl = "reason string, topic string, partition int, offset bigint, key binary, value binary, status int, error string"
     items = [(C.INDEXER_PERMANENT, "t", 0, 1, b"k", bytearray(n + 1), 400, "bad"), (C.INDEXER_SCHEMA, "t", 0, 2, b"k", bytearray(3), 400, "bad")]
     got = {x["offset"]: x for x in deadletters.indexer_letters(spark.createDataFrame(items, ddl)).collect()}
-    assert got[1]["value"] is None and got[1]["payload_truncated"] and got[1]["detail"].startswith("bad; payload truncated (orig 700001 bytes")
+    assert got[1]["value"] is None and got[1]["payload_truncated"] and got[1]["detail"].startswith("bad; value left out: 700001 bytes")
     assert (got[2]["status"], got[2]["detail"], len(got[2]["value"])) == (0, "", 3)
     ddl = "reason string, topic string, partition int, offset bigint, key binary, value binary, message_id string, url string, extension string, size bigint, error string"
     out = deadletters.file_letters(spark.createDataFrame([("r", "t", 0, 1, b"k", bytearray(n + 5), "m", "u", "e", 1, "x")], ddl)).first()
@@ -384,9 +409,47 @@ def test_store_rewrites_touched_ranges_only(spark, root):
     after = store.pointer.read()[1]
     assert after["0"] == before["0"] and after["1"] != before["1"]
     assert sorted(r["_id"] for r in store.read().collect()) == ["105", "107", "5"]
-    version, current = store.pointer.read()
+    store.check_stored()
+
+
+def _doc(spark, id_, kind=4):
+    return documents.from_contract(messages(spark, message(message_id=str(id_), raw_payload=f'{{"type":{kind}}}')))
+
+
+def test_writers_of_other_ranges_do_not_meet(spark, root, monkeypatch):
+    a, b = (DocumentStore(spark, f"{root}/docs", slot_width=100) for _ in range(2))
+    a.upsert(_doc(spark, 5))
+    written, others = DocumentStore._written_slots, [_doc(spark, 205), _doc(spark, 7, 3), _doc(spark, 8)]
+
+    def late(self, folder):
+        # while the files of a are written, b publishes: another range, then the same one
+        if self is a and others:
+            b.upsert(others.pop(0))
+        return written(self, folder)
+
+    monkeypatch.setattr(DocumentStore, "_written_slots", late)
+    a.upsert(_doc(spark, 6))
+    assert sorted(r["_id"] for r in a.read().collect()) == ["205", "5", "6"]
+    a.upsert(_doc(spark, 9))  # both others change its range: merged again, and again
+    assert sorted(r["_id"] for r in a.read().collect()) == ["205", "5", "6", "7", "8", "9"]
+    others.extend(_doc(spark, 10 + i) for i in range(9))
     with pytest.raises(ConcurrentWrite):
-        store._publish(first, version - 1, current)
+        a.upsert(_doc(spark, 30))
+
+
+def test_stored_files_are_checked_and_cleaned(spark, root):
+    store = DocumentStore(spark, f"{root}/docs", slot_width=100)
+    store.upsert(_doc(spark, 5))
+    store.upsert(_doc(spark, 6))
+    assert store.clean() == [] and len(store.clean(older_than_s=-60)) == 1 and store.read().count() == 2
+    _, current = store.pointer.read()
+    # files of an older layout, put there behind our back
+    old = store.read().drop("subSeq")
+    tables.staged(old, "old").coalesce(1).write.mode("overwrite").parquet(f"{root}/docs/{current['0']}/slot=0")
+    with pytest.raises(gates.GateError):
+        store.check_stored()
+    with pytest.raises(gates.GateError):
+        indexing.start(None, store, f"{root}/dlq", f"{root}/cp")
 
 
 def test_index_and_file_streams(spark, root):
@@ -409,9 +472,8 @@ def test_index_and_file_streams(spark, root):
     indexing.index_batch(spark.read.parquet(f"{root}/in"), "0" * 12, store, f"{root}/dlq")
     assert store.read().count() == 3 and spark.read.parquet(f"{root}/dlq").count() == 2
     bodies = spark.createDataFrame([(h + "1", bytearray(b"text one"))], "url string, body binary")
-    extraction.start(
-        streams.file_stream(spark, f"{root}/in"), store, bodies, ["h"], f"{root}/files", f"{root}/cp2", lambda: 50
-    ).awaitTermination()
+    leg = extraction.FileLeg(store, bodies, ["h"], f"{root}/files")
+    extraction.start(streams.file_stream(spark, f"{root}/in"), leg, f"{root}/cp2", lambda: 50).awaitTermination()
     d = {r["_id"]: r["payload"]["file"] for r in store.read().collect()}
     assert d["1"]["content"] == "text one" and d["2"]["contentMeta"]["reason"] == "blacklist_ext" and d["3"] is None
     assert files.pending_files(store.read()).count() == 0
@@ -428,22 +490,142 @@ def test_text_of_a_late_document_is_retried(spark, root):
     bodies = spark.createDataFrame([(h + "1", bytearray(b"text one"))], "url string, body binary")
     empty = records.where("false")
 
-    def step(batch, n, before, now):
-        extraction.extract_batch(batch, f"{n}", before, store, bodies, ["h"], root, now, max_attempts=3)
-        return [(r["attempts"], r["next_attempt_at"]) for r in spark.read.schema(extraction.RETRY_DDL).parquet(f"{root}/retry/run={n}").collect()]
+    leg = extraction.FileLeg(store, bodies, ["h"], root, max_attempts=3)
+
+    def step(batch, name, now):
+        leg.run(batch, name, now)
+        return [(r["attempts"], r["next_attempt_at"]) for r in leg.waiting().collect()]
 
-    assert step(records, 0, None, 100) == [(1, 101)]
-    assert step(empty, 1, "0", 100) == [(1, 101)]  # not due yet
-    assert step(empty, 2, "1", 101) == [(2, 103)]
+    assert step(records, "a", 100) == [(1, 101)]
+    assert step(records, "a", 900) == [(1, 101)]  # the same batch again: the same clock, the same retries
+    assert step(empty, "b", 100) == [(1, 101)]  # not due yet
+    leg.retry_due(100)
+    assert leg.state.read()[1]["batch"] == "b"  # nothing to do
+    leg.retry_due(101)  # no new input, and a leg that starts anew finds the state
+    leg = extraction.FileLeg(store, bodies, ["h"], root, max_attempts=3)
+    assert [(r["attempts"], r["next_attempt_at"]) for r in leg.waiting().collect()] == [(2, 103)]
     store.upsert(documents.from_contract(m))
-    assert step(empty, 3, "2", 103) == []
+    leg.retry_due(103)
+    assert leg.waiting().count() == 0
     assert store.read().first()["payload"]["file"]["content"] == "text one"
     gone = wire.encode(messages(spark, message(message_id="9", raw_payload=f'{{"type":8,"url":"{h}1","name":"a.txt"}}')), "t")
     gone = gone.selectExpr("topic", "0 AS partition", "1L AS offset", "key", "value")
-    step(gone, 4, "3", 200)
-    step(empty, 5, "4", 300)
-    assert step(empty, 6, "5", 400) == []
-    assert ("9", C.FILE_RETRY) in {(r["message_id"], r["reason"]) for r in tables.read_runs(spark, f"{root}/dlq", extraction.LETTER_DDL).collect()}
+    step(gone, "c", 200)
+    step(empty, "d", 300)
+    assert step(empty, "e", 400) == []
+    last = {r["messageId"]: r for r in leg.letters().collect()}["9"]
+    assert (last["reason"], last["offset"], last["fileURL"], last["spilledAt"]) == (C.FILE_RETRY, 1, f"{h}1", 400) and b"a.txt" in bytes(last["value"])
+
+
+def test_last_delivery_and_old_versions_in_the_file_leg(spark, root):
+    old = message(message_id="1", schema_version=1, raw_payload='{"type":8,"url":"https://h/1","name":"a.txt"}')
+    new = message(message_id="1", raw_payload='{"type":8,"url":"https://h/2","name":"a.txt"}')
+    records = wire.encode(messages(spark, new, old), "t").withColumn("partition", F.lit(0))
+    records = records.withColumn("offset", F.when(F.contains("value", F.lit(b"h/2")), 5).otherwise(9).cast("bigint")).select("topic", "partition", "offset", "key", "value")
+    found, bad = extraction.batch_files(records)
+    assert [(r["url"], r["offset"]) for r in found.collect()] == [("https://h/1", 9)] and bad.count() == 0
+    assert tables.staged(wire.judged(records), "judged").where("reason IS NOT NULL").count() == 1
+
+
+def test_formats_without_an_extractor_stay_pending(spark, root):
+    h = "https://h/"
+    m = messages(spark, *[message(message_id=str(i), raw_payload=f'{{"type":8,"url":"{h}1","name":"{n}"}}') for i, n in enumerate(["a.pdf", "a.docx", "none"])])
+    records = wire.encode(m, "t").withColumn("offset", F.monotonically_increasing_id()).selectExpr("topic", "0 AS partition", "offset", "key", "value")
+    store = DocumentStore(spark, f"{root}/docs")
+    store.upsert(documents.from_contract(m))
+    bodies = spark.createDataFrame([(h + "1", bytearray(b"body"))], "url string, body binary")
+    extraction.FileLeg(store, bodies, ["h"], f"{root}/files").run(records, "a", 1)
+    out = file_backfill.run(store, bodies, ["h"], 1, f"{root}/dlq", "1")
+    assert {r["outcome"] for r in out.collect()} == {files.NO_EXTRACTOR}
+    assert files.pending_files(store.read()).count() == 3 and file_backfill.letters(spark, f"{root}/dlq").count() == 0
+    assert files.backfill_gate(out).first()["verdict"] == "open_items"
+
+    def plugin(batches):
+        for b in batches:
+            yield pd.DataFrame({"content": [f"text{e}" for e in b["ext"]], "error_kind": None, "extract_ms": 2})
+
+    extraction.FileLeg(store, bodies, ["h"], f"{root}/more", extractor=plugin).run(records, "a", 1)
+    assert sorted(r["payload"]["file"]["content"] for r in store.read().collect()) == ["text", "text.docx", "text.pdf"]
+
+
+def test_letters_of_a_repeated_backfill_stay(spark, root):
+    store = DocumentStore(spark, f"{root}/docs")
+    store.upsert(documents.from_contract(messages(spark, message(message_id="2", raw_payload='{"type":8,"url":"ftp://h/2","name":"a.txt"}'))))
+    bodies = spark.createDataFrame([], "url string, body binary")
+    for now in (5, 6):
+        file_backfill.run(store, bodies, ["h"], now, f"{root}/dlq", "1")
+    assert [(r["message_id"], r["reason"], r["spilled_at"]) for r in file_backfill.letters(spark, f"{root}/dlq").collect()] == [("2", "invalid_url", 5)]
+
+
+def test_cut_text_must_not_be_blank(spark):
+    wanted = spark.createDataFrame([("1", "https://h/1", "a.txt", "\u2003.TXT\t", None)], "message_id string, url string, name string, extension string, size bigint")
+    bodies = spark.createDataFrame([("https://h/1", bytearray(b" " * 20 + b"text"))], "url string, body binary")
+    got = files.extract_files(wanted, bodies, ["h"], max_content_bytes=10).first()
+    assert (got["ext"], got["outcome"], got["content"]) == (".txt", "empty_extract", None)
+    assert files.extract_files(wanted, bodies, ["h"], max_content_bytes=22).first()["content"] == " " * 20 + "te"
+
+
+def test_heads_stay_hidden(spark):
+    page = "<html><head><script>if (a</script ><title>T</title><style>x</style></head><body>A<p>B</p><noscript>N</noscript></body></html>"
+    assert spark.createDataFrame([(page,)], "h string").select(textx.html_text(F.col("h"))).first()[0] == "AB"
+
+
+def test_payload_is_kept_to_the_letter(spark):
+    raw = '{ "x":1.50,"y":1e2, "z":12345678901234567890123.10,"s":"a,\\"raw_payload\\":1","type":7}'
+    records = wire.encode(messages(spark, message(raw_payload=raw)), "t").selectExpr("topic", "0 AS partition", "0L AS offset", "key", "value")
+    assert wire.decode(records).first()["raw_payload"] == raw
+    assert tables.staged(wire.judged(records), "judged").select(F.inline("docs")).first()["payloadRaw"] == raw
+    other = records.withColumn("value", F.expr("""encode(concat(substr(decode(value, 'UTF-8'), 1, length(decode(value, 'UTF-8')) - 1), ',"more":1}'), 'UTF-8')"""))
+    assert wire.decode(other).first()["raw_payload"] is not None
+
+
+def test_large_documents_are_refused_in_both_legs(spark):
+    text = "x" * 3000
+    raw = json.dumps({"type": 1, "content": text})
+    r = rows(spark, row("1", raw, id=1), row("2", '{"type":1,"content":"x"}', id=2))
+    got = {x["message_id"]: x["reason"] for x in tables.staged(historical.judged_rows(r, max_doc_bytes=3000), "judged").collect()}
+    assert got == {"1": C.LOAD_REJECT, "2": None}
+    records = wire.encode(messages(spark, message(message_id="1", raw_payload=raw, content=text)), "t").selectExpr("topic", "0 AS partition", "0L AS offset", "key", "value")
+    assert [tables.staged(wire.judged(records, n), "judged").first()["status"] for n in (3000, 100_000_000)] == [413, None]
+
+
+def test_a_tick_reads_its_source_once(spark, root):
+    """A source that grows between reads: a row committed late must not slip in below the cursor."""
+    first = [row("1", id=1), row("3", id=3)]
+    later = [row("2", id=2, created_unix=1700009999)]
+    names = [n for n, _ in C.ROW_FIELDS]
+
+    def live(batches):
+        list(batches)
+        with open(f"{root}/reads", "a+") as log:
+            log.seek(0)
+            seen = len(log.read())
+            log.write("x")
+        yield pd.DataFrame([[i[n] for n in names] for i in (first if not seen else first + later)], columns=names)
+
+    source = spark.range(1, numPartitions=1).mapInPandas(live, C.ddl(C.ROW_FIELDS))
+    p = VersionedPointer(spark, f"{root}/cursors")
+    assert incremental.run_tick(source, p, root, 1700010000, 600) == {"message": 3}
+    assert {x["key"].decode() for x in incremental.main_records(spark, root).collect()} == {"1", "3"}
+    with open(f"{root}/reads") as log:
+        assert log.read() == "x"
+
+
+def test_a_load_that_lost_the_race_says_so(spark, root, monkeypatch):
+    target = historical.LoadTarget.below(spark, root)
+    commit = VersionedPointer.commit
+    monkeypatch.setattr(VersionedPointer, "commit", lambda self, e, v: False if self._root.getName() == "cursors" else commit(self, e, v))
+    with pytest.raises(ConcurrentWrite):
+        historical.run(rows(spark, row(id=1)), target)
+
+
+def test_the_sample_moves_no_payload(spark):
+    r = rows(spark, *[row(str(i), id=i) for i in range(20)])
+    excluded = spark.createDataFrame([("3",)], "message_id string")
+    got = recon.comparable_sample(r, excluded, 0, 2**40, 5)
+    assert sorted(x["id"] for x in got.collect()) == [0, 1, 10, 11, 12]
+    plan = recon.compare(recon.expected_fields(got), _doc(spark, 1))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
 
 
 def test_file_backfill_job(spark, root):
