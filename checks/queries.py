@@ -913,7 +913,9 @@ def _(spark, sf):
     return metrics.content_histogram(cut)
 
 
-@query("file_backfill_gate", O.X + "SELECT count(*) AS scanned, count(*) FILTER (WHERE outcome = 'ok') AS extracted, count(*) FILTER (WHERE outcome <> 'ok') AS dlq, 0 AS transient, CASE WHEN count(*) FILTER (WHERE outcome <> 'ok') > 0.1 * count(*) THEN 'too_many_dead_letters' ELSE 'ok' END AS verdict FROM extracted")
+@query("file_backfill_gate", O.X + """SELECT count(*) AS scanned, count(*) FILTER (WHERE outcome = 'ok') AS extracted, count(*) FILTER (WHERE outcome NOT IN ('ok', 'no_extractor')) AS dlq,
+  count(*) FILTER (WHERE outcome = 'no_extractor') AS transient, CASE WHEN count(*) FILTER (WHERE outcome = 'no_extractor') > 0 THEN 'open_items'
+  WHEN count(*) FILTER (WHERE outcome <> 'ok') > 0.1 * count(*) THEN 'too_many_dead_letters' ELSE 'ok' END AS verdict FROM extracted""")
 def _(spark, sf):
     return files.backfill_gate(outcomes_of(spark, sf))
 
@@ -1115,7 +1117,14 @@ def _(spark, sf):
 _FILE_RESULT = O.X + """SELECT message_id AS doc_id, outcome, whole IS NOT NULL AND outcome = 'ok' AS has_content FROM (SELECT message_id, outcome, whole FROM outcomes)"""
 
 
-@query("file_stream", _FILE_RESULT + f""" UNION ALL SELECT shard_table, '{C.FILE_PARSE}', NULL FROM (SELECT DISTINCT shard_table FROM src)""")
+# the stream leg takes a declared size from a number only
+_STREAM_RESULT = _FILE_RESULT.replace(
+    "file_size AS size FROM docs WHERE payload_type = 8",
+    f"s.size AS size FROM docs LEFT JOIN (SELECT message_id AS mid, {O._int('body', 'size')} AS size FROM routed) s ON s.mid = doc_id WHERE payload_type = 8",
+)
+
+
+@query("file_stream", _STREAM_RESULT + f""" UNION ALL SELECT shard_table, '{C.FILE_PARSE}', NULL FROM (SELECT DISTINCT shard_table FROM src)""")
 def _(spark, sf):
     """The index leg first, then the file leg over the same stream."""
     root = new_work_dir(spark, "file-stream")

@@ -53,8 +53,8 @@ def file_messages(messages: DataFrame) -> DataFrame:
         jsonx.string_of(F.col("file.url")).alias("url"),
         jsonx.string_of(F.col("file.name")).alias("name"),
         jsonx.string_of(F.col("file.extension")).alias("extension"),
-        # as in the document: a number, or a text of one
-        jsonx.zero_as_null(jsonx.integer_or_text_of(F.col("file.size"))).alias("size"),
+        # unlike the document, this leg takes a size from a number only
+        jsonx.integer_of(F.col("file.size")).alias("size"),
         *[F.col(c) for c in keep],
     )
     return opened.select(F.inline(F.when(jsonx.integer_of(F.col("file.type")) == C.TYPE_FILE, F.array(fields))))
