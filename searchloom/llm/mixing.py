@@ -11,7 +11,7 @@ Targets are a table of (dimension, value, share), or shares in proportion to tok
 has go to the others in proportion.
 
 Only cells are raked, one row for each combination that occurs, summed before anything is
-shuffled. Texts are never shuffled. Each round is written to the shared folder.
+shuffled. Texts are never shuffled. Every few rounds are written to the shared folder.
 
 Defined cases: null and empty values are one value, the empty one. A document without words has no
 tokens; cells without any tokens are kept whole, as they weigh nothing. A row without id is
@@ -22,13 +22,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from searchloom.llm.texts import SPACES, named, row_of, split_words, whole
 from searchloom.sinks.tables import staged
 
 DIMENSIONS = ["source", "lang", "topic"]
 TEMPERATURE, FRACTION, SEED = 0.7, 0.8, "mix"
-TOLERANCE, MAX_ROUNDS = 1e-12, 200
+TOLERANCE, MAX_ROUNDS, ROUNDS_AT_ONCE = 1e-12, 200, 4
 #: cells up to this many are broadcast to the documents; more are joined by shuffle
 MAX_BROADCAST_CELLS = 100_000
 
@@ -77,18 +78,20 @@ def raked(cells: DataFrame, targets: DataFrame, tolerance: float = TOLERANCE, ma
     # what a target leaves out is out in all rounds
     state = cells.where("tokens > 0").withColumn("w", F.col("tokens").cast("double"))
     for d in DIMENSIONS:
-        state = state.join(goals[d].select(d), d, "left_semi")
+        state = state.join(goals[d].withColumnRenamed("goal", f"goal_{d}"), d)
     state = staged(state, "mix-cells")
-    for round_ in range(max_rounds):
-        sums = F.lit(0.0)
-        for d in DIMENSIONS:
-            factors = state.groupBy(d).agg(F.sum("w").alias("sum")).join(goals[d], d).select(d, (F.col("goal") / F.col("sum")).alias(f"f_{d}"))
-            state = state.join(factors, d).withColumn("w", F.col("w") * F.col(f"f_{d}"))
-            sums = F.greatest(sums, F.abs(F.col(f"f_{d}") - 1))
-        state = staged(state.withColumn("off", sums).drop(*[f"f_{d}" for d in DIMENSIONS]), f"mix-round-{round_}")
-        off = state.agg(F.max("off")).first()[0]
+    for round_ in range(0, max_rounds, ROUNDS_AT_ONCE):
+        for _ in range(ROUNDS_AT_ONCE):
+            off = F.lit(0.0)
+            for d in DIMENSIONS:
+                # one row for each cell of a value, whatever the number of documents
+                factor = F.col(f"goal_{d}") / F.sum("w").over(W.partitionBy(d))
+                state = state.withColumn(f"f_{d}", factor).withColumn("w", F.col("w") * F.col(f"f_{d}"))
+                off = F.greatest(off, F.abs(F.col(f"f_{d}") - 1))
+        state = staged(state.withColumn("off", off).drop(*[f"f_{d}" for d in DIMENSIONS]), f"mix-round-{round_}")
+        worst = state.agg(F.max("off")).first()[0]
         state = state.drop("off")
-        if off is None or off <= tolerance:
+        if worst is None or worst <= tolerance:
             break
     fitted = state.select(*DIMENSIONS, F.col("w").alias("share"))
     return cells.join(fitted, DIMENSIONS, "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
