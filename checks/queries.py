@@ -1036,7 +1036,19 @@ def _(spark, sf):
     return gates.path_coverage(docs, C.REQUIRED_PATHS)
 
 
-@query("drift_gate")
+_READER = {
+    "messageId": "message_id", "messageSeq": "message_seq", "channelId": "channel_id", "channelType": "channel_type", "from": "from_id", "to": "to_id",
+    "spaceId": "space_id", "visibles": "visibles", "timestamp": "ts", "payload.type": "payload_type", "payload.text.content": "text_content",
+    "payload.image.caption": "image_caption", "payload.image.name": "image_name", "payload.file.caption": "file_caption", "payload.file.name": "file_name",
+    "payload.file.extension": "file_extension",
+}
+_ITEMS = {"searchText": "txt", "from": "f", "timestamp": "ts"}
+
+
+@query("drift_gate", O.X + " UNION ALL ".join(
+    [f"SELECT '{path}' AS path, TRUE AS declared, count({column}) AS documents FROM docs" for path, column in _READER.items()]
+    + [f"SELECT 'payload.mergeForward.msgs.{n}', TRUE, count(*) FROM d2 WHERE len(list_filter(items, lambda m: m.{f} IS NOT NULL)) > 0" for n, f in _ITEMS.items()]
+))
 def _(spark, sf):
     docs = docs_of(spark, sf)
     gates.require_reader_fields(docs.schema)

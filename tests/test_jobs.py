@@ -663,4 +663,4 @@ def test_every_query_has_a_twin_or_is_known_not_to():
     from checks.queries import QUERIES, SQL
 
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"doc_oversize", "drift_gate"}
+    assert set(QUERIES) - set(SQL) == {"doc_oversize"}
