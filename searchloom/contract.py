@@ -5,7 +5,6 @@ from __future__ import annotations
 # ---- fixed values: wire and index contract -------------------------------
 CONTRACT_VERSION = 2
 DLQ_VERSION = 1
-SOURCE_TAG = "etl_message_table"
 SHARDS = ["message", "message1", "message2", "message3", "message4"]
 SIGNAL_BIT = 32
 PERSON_CHANNEL = 1
@@ -22,6 +21,10 @@ TYPE_RICH = 14
 IMAGE_MARK = "[图片]"
 FILE_MARK = "[文件]"
 
+# ---- our own default ---------------------------------------------------------
+# what messages name as their source; unknown in the contract, so a job may set another
+SOURCE_TAG = "etl_message_table"
+
 # ---- fixed values: size limits (bytes) -----------------------------------
 MAX_MESSAGE_BYTES = 1_000_000
 MAX_DLQ_PAYLOAD_BYTES = 700_000
