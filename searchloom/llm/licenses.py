@@ -1,10 +1,11 @@
 """License scans: parts of a text against licence templates by Dice over word bigrams.
 
-A template, and a text line by line, become lower-case words and their bigrams. A line belongs to
-a template if at least half of its bigrams are the template's (the one across the line break
-included); neighbouring lines of one template, blank ones between them aside, form a part. A part,
-also with one more line at either end, is scored only if its size can reach the threshold at all: with ``a`` and ``b`` bigrams Dice is at most ``2 min(a, b) / (a + b)``. Of
-templates that match overlapping parts the best one stays.
+Templates and texts become lower-case words and their bigrams. Every window of a text's words, whatever
+the line breaks are, is a match if its Dice with a template reaches the threshold. With ``a`` and ``b``
+bigrams Dice is at most ``2 min(a, b) / (a + b)``, which bounds a window's size, and a window that begins
+and ends with a bigram of the template scores no less than one with more around it; so only those
+are scored, and only where the longest window from a place shares enough bigrams. Of matches with
+words in common the one stays that has most shared bigrams less those of one side only.
 
 Texts are read in Python within their partition; templates are a few constants.
 
@@ -53,41 +54,50 @@ class Scanner:
         low, high = threshold / (2 - threshold), (2 - threshold) / threshold
         self._bounds = {name: (g.total() * low, g.total() * high) for name, g in self._grams.items()}
 
-    def _parts(self, lines: list[str]) -> Iterator[tuple[str, int, int]]:
-        """(template, first line, line after the last) of neighbouring lines that belong to a template."""
-        open_: dict[str, tuple[int, int]] = {}
-        last: list[str] = []
-        for n, line in enumerate(lines):
-            words = _WORD.findall(line.lower())
-            if not words:
-                continue
-            hits: Counter = Counter()
-            # the bigram across the line break is this line's
-            for gram in zip(last + words, (last + words)[1:]):
-                hits.update(self._owners.get(gram, ()))
-            mine = {name for name, k in hits.items() if 2 * k >= len(words) - 1 and len(words) - 1 <= self._bounds[name][1]}
-            last = words[-1:]
-            for name in [x for x in open_ if x not in mine]:
-                yield name, *open_.pop(name)
-            for name in mine:
-                open_[name] = (open_[name][0] if name in open_ else n, n + 1)
-        yield from ((name, *where) for name, where in open_.items())
+    def _windows(self, name: str, grams: list[tuple[str, str]], at: list[int]) -> Iterator[tuple[int, int, int]]:
+        """(first bigram, bigram after the last, shared bigrams) of all windows that match; ``at`` are the places of the template's bigrams."""
+        template, (low, high) = self._grams[name], self._bounds[name]
+        size, right, ahead, shared = template.total(), 0, Counter(), 0
+        for left, start in enumerate(at):
+            while right < len(at) and at[right] - start + 1 <= high:
+                gram = grams[at[right]]
+                ahead[gram] += 1
+                shared += ahead[gram] <= template[gram]
+                right += 1
+            if shared >= low:
+                seen, common = Counter(), 0
+                for end in at[left:right]:
+                    seen[grams[end]] += 1
+                    common += seen[grams[end]] <= template[grams[end]]
+                    if 2 * common / (end - start + 1 + size) >= self._threshold:
+                        yield start, end + 1, common
+            shared -= ahead[grams[start]] <= template[grams[start]]
+            ahead[grams[start]] -= 1
 
     def scan(self, text: str) -> list[tuple[str, int, int, float]]:
-        """(template, first line, line after the last, Dice), by first line."""
-        lines, found = _BREAK.split(text), []
-        for name, first, end in self._parts(lines):
-            low, high = self._bounds[name]
-            # a line at either end may hold a single word of the licence
-            for a, b in {(first, end), (max(0, first - 1), end), (first, min(end + 1, len(lines)))}:
-                part = bigrams("\n".join(lines[a:b]))
-                if low <= part.total() <= high and (score := dice(part, self._grams[name])) >= self._threshold:
-                    found.append((name, a, b, score))
-        best: list[tuple[str, int, int, float]] = []
-        for x in sorted(found, key=lambda x: (-x[3], x[1] - x[2], x[0])):
-            if all(x[2] <= y[1] or y[2] <= x[1] for y in best):
-                best.append(x)
-        return sorted(best, key=lambda x: x[1])
+        """(template, first line, line after the last, Dice), by place."""
+        words = _WORD.findall(text.lower())
+        grams, owners = list(zip(words, words[1:])), self._owners
+        places: dict[str, list[int]] = {}
+        for n, gram in enumerate(grams):
+            if gram in owners:
+                for name in owners[gram]:
+                    places.setdefault(name, []).append(n)
+        found = []
+        for name, at in places.items():
+            size = self._grams[name].total()
+            if len(at) >= self._bounds[name][0]:
+                found += [(3 * k - (b - a) - size, 2 * k / (b - a + size), name, a, b) for a, b, k in self._windows(name, grams, at)]
+        if not found:
+            return []
+        best, taken = [], bytearray(len(words))
+        for _, score, name, a, b in sorted(found, key=lambda x: (-x[0], -x[1], x[3], x[2])):
+            # bigrams a to b - 1 are words a to b
+            if not any(taken[a : b + 1]):
+                taken[a : b + 1] = b"\1" * (b + 1 - a)
+                best.append((a, b, name, score))
+        line_of = [n for n, line in enumerate(_BREAK.split(text)) for _ in _WORD.findall(line.lower())]
+        return [(name, line_of[a], line_of[b] + 1, score) for a, b, name, score in sorted(best)]
 
 
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:

@@ -60,3 +60,28 @@ def test_size_bounds_lose_nothing():
         low, high = 0.9 / 1.1, 1.1 / 0.9
         if licenses.dice(a, b) >= 0.9:
             assert b.total() * low <= a.total() <= b.total() * high
+
+
+def test_embedded_and_repeated_notices():
+    scan, mit = licenses.Scanner(TEMPLATES).scan, TEMPLATES["mit-full"].replace("\n", " ")
+    parts = lambda text: [x[:3] for x in scan(text)]
+    assert parts("Copyright 2020 Acme Inc. All rights reserved. Contact us.") == [("all-rights-reserved", 0, 1)]
+    assert parts("All rights reserved.\nAll rights reserved.") == [("all-rights-reserved", 0, 1), ("all-rights-reserved", 1, 2)]
+    assert parts("All rights reserved.\n\nAll rights reserved. " * 2) == [("all-rights-reserved", *x) for x in ((0, 1), (2, 3), (2, 3), (4, 5))]
+    assert parts(f"some words before it {mit} and some words after it, all in one line") == [("mit-full", 0, 1)]
+    assert parts(f"{TEMPLATES['mit-full']}\n\n{TEMPLATES['mit-full']}") == [("mit-full", 0, 10), ("mit-full", 11, 21)]
+    assert parts("all rights are reserved, and the software is provided") == []
+    assert parts(TEMPLATES["apache-2.0-header"].replace("governing", "that governs")) == [("apache-2.0-header", 0, 5)]
+
+
+def test_windows_match_brute_force():
+    rng = random.Random(6)
+    templates = {"a": "p q r s t u v w x y z p q", "b": "p q r", "c": "q q q q p p"}
+    for _ in range(400):
+        words = [rng.choice("pqrstuvwxyz!") for _ in range(rng.randrange(12))] + rng.choice(list(templates.values())).split() * rng.randrange(3)
+        at = rng.randrange(len(words) + 1)
+        text = " ".join(words[:at] + [rng.choice(["n", "\n", "q"])] + words[at:])
+        words = re.findall(r"\w+", text)
+        want = {n for n, t in templates.items() for i in range(len(words)) for j in range(i + 2, len(words) + 1) if licenses.dice(grams(" ".join(words[i:j])), grams(t)) >= 0.9}
+        got = {x[0] for x in licenses.Scanner(templates).scan(text)}
+        assert got <= want and bool(got) == bool(want), text
