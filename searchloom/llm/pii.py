@@ -4,7 +4,9 @@ The patterns give seed entities. Every identifier-like token (4 and more digits
 characters) is an instance, the words around it with its outer form are lexical patterns, and the
 two make a bipartite graph over the whole corpus. Scores go to and fro: a pattern scores, for each
 kind, the smoothed share of its distinct instances that are of the kind; an instance scores the
-best of its patterns. Patterns of few distinct seeds carry nothing. Instances that end above the
+best of its patterns. A pattern counts in a round if enough of its distinct instances are seeds or
+scored above the threshold in the round before, so what was found teaches further patterns; after
+``ROUNDS`` rounds they go on for as long as one finds more. Instances that end above the
 threshold, and were no seeds, are identifiers that the fixed patterns missed; they are reported
 wherever they stand.
 
@@ -161,22 +163,28 @@ def scored(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(token, rank): instances that are no seeds but score above the threshold for one kind."""
     seen = rows.select(F.explode("seen").alias("s")).select("s.token", "s.rank", F.explode("s.patterns").alias("pattern"))
     edges = seen.groupBy("pattern", "token").agg(F.max("rank").alias("rank"))
-    # a pattern that too few seeds stand in can never pass on a score
-    rich = edges.groupBy("pattern").agg(F.count(F.when(F.col("rank") >= 0, 1)).alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
+    # a pattern of too few instances can never pass on a score, even if all of them are found
+    rich = edges.groupBy("pattern").count().where(F.col("count") >= MIN_SEEDS)
     edges = staged(edges.join(rich.select("pattern"), "pattern", "left_semi"), "pii-edges")
 
     ranks = range(len(KINDS))
     seeds = edges.where("rank >= 0").groupBy("token").agg(F.max("rank").alias("rank"))
     scores = seeds.select("token", F.lit(True).alias("seed"), *[(F.col("rank") == k).cast("double").alias(f"s{k}") for k in ranks])
-    for round_ in range(rounds):
+    top = F.greatest(*[F.col(f"s{k}") for k in ranks])
+    round_, before, now = 0, -1, 0
+    # scores never fall, so neither does what is found
+    while round_ < rounds or now > before:
         known = edges.join(scores, "token", "left")
         share = [(F.sum(F.coalesce(f"s{k}", F.lit(0.0))) / (F.count("*") + SMOOTHING)).alias(f"c{k}") for k in ranks]
-        trusted = known.groupBy("pattern").agg(*share)
+        teachers = F.count_if(F.col("seed") | (top >= THRESHOLD)).alias("teachers")
+        trusted = known.groupBy("pattern").agg(teachers, *share).where(F.col("teachers") >= MIN_SEEDS)
         best = edges.where("rank < 0").join(trusted, "pattern").groupBy("token").agg(*[F.max(f"c{k}").alias(f"s{k}") for k in ranks])
         best = best.join(seeds.select("token"), "token", "left_anti").select("token", F.lit(False).alias("seed"), *[f"s{k}" for k in ranks])
         first = seeds.select("token", F.lit(True).alias("seed"), *[(F.col("rank") == k).cast("double").alias(f"s{k}") for k in ranks])
         scores = staged(first.unionByName(best), f"pii-scores-{round_}")
-    top = F.greatest(*[F.col(f"s{k}") for k in ranks])
+        round_ += 1
+        if round_ >= rounds:
+            before, now = now, scores.where(~F.col("seed") & (top >= THRESHOLD)).count()
     rank = F.coalesce(*[F.when(F.col(f"s{k}") == top, k) for k in ranks])
     return scores.where(~F.col("seed") & (top >= THRESHOLD)).select("token", (rank + len(KINDS)).alias("rank"))
 

@@ -74,3 +74,14 @@ def test_scores_by_hand(spark, rounds):
         assert [tuple(r) for r in pii.scored(rows, rounds).collect()] == [("new", 7)]
     finally:
         pii.THRESHOLD = old
+
+
+def test_what_was_found_teaches_further_patterns(spark):
+    # seeds teach "call me <9>", and numbers found there teach "my cell <9>", where no seed stands
+    rows = [(i, f"please call me +1 555 010 {2000 + i} today") for i in range(60)]
+    rows += [(100 + i, f"please call me 55501030{i:02} today") for i in range(20)]
+    rows += [(200 + i, f"on my cell 55501030{i:02} always") for i in range(20)] + [(300, "on my cell 5550109901 always")]
+    rows += [(400 + i, f"now dial 55501030{i:02} later") for i in range(2)] + [(500, "a b 77770000 c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.find(docs).selectExpr("id AS doc_id", "size(spans) AS spans").collect()}
+    assert found[100] == found[219] == found[300] == found[401] == 1 and found[500] == 0
