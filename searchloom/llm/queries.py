@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.llm import decontaminate, licenses, line_dedup, mixing, mixing_sql, near_dedup, pii, quality, secret_scan, token_counts, url_templates, whitening
+from searchloom.llm import decontaminate, fingerprints, licenses, line_dedup, mixing, mixing_sql, near_dedup, pii, quality, secret_scan, token_counts, url_templates, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_personal_data": op10_personal_data,
+    "op11_fingerprints": op11_fingerprints,
     "op13_whitening": op13_whitening,
 }
 
