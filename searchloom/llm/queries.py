@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from searchloom.llm import decontaminate, fingerprints, licenses, line_dedup, mixing, mixing_sql, near_dedup, pii, quality, secret_scan, token_counts, url_templates, whitening
+from searchloom.llm import conversations, decontaminate, fingerprints, licenses, line_dedup, mixing, mixing_sql, near_dedup, pii, quality, secret_scan, token_counts, url_templates, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +68,16 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.report(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    all_ = rows.select("conv_id").distinct()
+    found = conversations.report(conversations.damaged(rows)).withColumnRenamed("conv_id", "found")
+    out = all_.join(found, F.col("conv_id").eqNullSafe(F.col("found")), "left").drop("found")
+    # conversations that lost all their rows
+    none = {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit("").cast("binary"), 256)}
+    return out.select("conv_id", *[F.coalesce(c, none.get(c, F.lit(0))).alias(c) for c in out.columns[1:]])
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -83,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_personal_data": op10_personal_data,
     "op11_fingerprints": op11_fingerprints,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_whitening": op13_whitening,
 }
 
