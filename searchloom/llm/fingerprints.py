@@ -120,7 +120,7 @@ def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _followers(marks: DataFrame) -> DataFrame:
-    """Each distinct document beside the one before it (``p…``), the first beside the last.
+    """Each distinct document beside the one before it (``p…``), the first beside the last, and how like they are.
 
     Documents are dealt out in ranges of their keys. Within a range a window looks one row back;
     over its border looks a table of one row for each range.
@@ -136,7 +136,7 @@ def _followers(marks: DataFrame) -> DataFrame:
     rows = ordered.select(*KEY, "mark", "part", before(row).alias("previous"))
     # one row for each range of a shuffle
     rows = rows.join(F.broadcast(borders), "part").withColumn("previous", F.coalesce("previous", "border"))
-    return rows.select(*KEY, "mark", *[F.col(f"previous.{c}").alias(f"p{c}") for c in [*KEY, "n", "mark"]])
+    return rows.select(*KEY, *[F.col(f"previous.{c}").alias(f"p{c}") for c in [*KEY, "n", "mark"]], likeness(F.col("previous.mark"), F.col("mark")).alias("near_next"))
 
 
 def _same(left: DataFrame, right: DataFrame, prefix: str = "") -> Column:
@@ -158,13 +158,13 @@ def report(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = staged(_followers(marks), "print-links")
 
     half = F.floor(F.col("pn") / 2).cast("int")
-    sent = keyed.join(links, _same(keyed, links)).select("pid", "ph1", "ph2", "pn", "pmark", links["mark"].alias("nmark"), F.substring("text", F.lit(1), half).alias("head"))
+    sent = keyed.join(links, _same(keyed, links)).select("pid", "ph1", "ph2", "pn", "pmark", "near_next", F.substring("text", F.lit(1), half).alias("head"))
     # equal rows send equal heads
-    heads = sent.groupBy("pid", "ph1", "ph2").agg(*[F.max(c).alias(c) for c in ("pn", "pmark", "nmark", "head")])
+    heads = sent.groupBy("pid", "ph1", "ph2").agg(*[F.max(c).alias(c) for c in ("pn", "pmark", "near_next", "head")])
     rows = keyed.join(heads, _same(keyed, heads, "p"))
-    rows = rows.select("id", F.col("pn").alias("n"), F.col("pmark").alias("mark"), "nmark", F.concat(F.substring("text", F.lit(1), F.col("pn") - half), "head").alias("edited"))
-    rows = rows.select("id", "n", "mark", "nmark", hex_digest(F.col("edited")).alias("edited_sha256"), fingerprint(F.col("edited")).alias("emark"))
+    rows = rows.select("id", F.col("pn").alias("n"), F.col("pmark").alias("mark"), "near_next", F.concat(F.substring("text", F.lit(1), F.col("pn") - half), "head").alias("edited"))
+    rows = rows.select("id", "n", "mark", "near_next", hex_digest(F.col("edited")).alias("edited_sha256"), fingerprint(F.col("edited")).alias("emark"))
     return rows.select(
         *columns, "edited_sha256", F.lower(F.hex("mark")).alias("fingerprint"), F.lower(F.hex("emark")).alias("edited_fingerprint"),
-        likeness(F.col("mark"), F.col("emark")).alias("near_edited"), likeness(F.col("mark"), F.col("nmark")).alias("near_next"),
+        likeness(F.col("mark"), F.col("emark")).alias("near_edited"), "near_next",
     )
