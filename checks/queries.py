@@ -411,22 +411,26 @@ def _(spark, sf):
 
 
 def _reversed_text(batches):
-    """A stand-in for an external extractor: the bytes as text, backwards, with the extension it was asked for."""
+    """A stand-in for an external extractor: the whole bytes as text, backwards, with the extension it was asked for."""
     for batch in batches:
-        text = [bytes(b).decode("utf-8", "replace")[::-1][:200] + e for b, e in zip(batch["body"], batch["ext"])]
+        text = [bytes(b).decode("utf-8", "replace")[::-1] + e for b, e in zip(batch["body"], batch["ext"])]
         yield batch[["url"]].assign(content=text, error_kind=None, extract_ms=1)
 
 
-# the same stored file asked for under two extensions that only a plug-in reads
-@query("extract_plugin", f"""WITH store AS ({driver_tables.file_bytes_sql()}), both_ AS (SELECT url, body, ext FROM store, (VALUES ('.pdf'), ('.docx')) e(ext))
-  SELECT concat(url, ext) AS message_id, 'ok' AS outcome, concat(reverse(body)[1:200], ext) AS content FROM both_ WHERE url LIKE 'https://files.example.com/%'""")
+_BACKWARDS = "concat(array_to_string(list_reverse(regexp_extract_all(body, '(?s).')), ''), ext)"
+
+
+# every stored file asked for under two extensions that only a plug-in reads
+@query("extract_plugin", f"""WITH store AS ({driver_tables.file_bytes_sql()}), both_ AS (SELECT url, body, ext FROM store, (VALUES ('.pdf'), ('.docx')) e(ext)),
+  texts AS (SELECT concat(url, ext) AS message_id, {_BACKWARDS} AS whole FROM both_)
+  SELECT message_id, 'ok' AS outcome, {O._cut('whole', C.MAX_CONTENT_BYTES)} AS content, strlen(whole) > {C.MAX_CONTENT_BYTES} AS truncated FROM texts""")
 def _(spark, sf):
-    bodies = driver_tables.file_bytes(spark, sf).where("url LIKE 'https://files.example.com/%'")
+    bodies = driver_tables.file_bytes(spark, sf)
     wanted = bodies.select("url", F.explode(F.array(F.lit(".pdf"), F.lit(".docx"))).alias("extension")).select(
         F.concat("url", "extension").alias("message_id"), "url", F.lit(None).cast("string").alias("name"), "extension", F.lit(None).cast("bigint").alias("size")
     )
     out = files.extract_files(tables.staged(wanted, "wanted"), bodies, O.HOSTS, extractor=_reversed_text)
-    return out.select("message_id", "outcome", "content")
+    return out.select("message_id", "outcome", "content", "truncated")
 
 
 @query("extract_route", O.X + "SELECT message_id, ext, outcome, content, truncated FROM extracted")
@@ -1091,14 +1095,27 @@ def _(spark, sf):
 
 
 def stream_folder(spark, sf, root):
-    """All messages as stream records in files, with two poisons per shard: an old version and junk."""
+    """All messages as stream records in files, with three poisons per shard: an old version, junk, and a list of viewers that names nobody.
+
+    Every second record is written as another producer might: the payload first or in the middle, blanks around it, its key once more inside.
+    """
     messages = messages_of(spark, sf, keep=("shard_table", "id"))
-    keyed = wire.encode(messages, "messages").withColumn("message_id", F.col("key").cast("string"))
+    plain = F.to_json(F.struct(*[F.col(n) for n in wire.NAMES if n != "raw_payload"]))
+    rest, raw = F.substring(plain, F.lit(2), F.length(plain)), F.col("raw_payload")
+    orders = [
+        F.concat(F.lit('{"raw_payload":'), raw, F.lit(","), rest),
+        F.concat(F.lit(' { "note" : {"raw_payload":{"type":1}}, "raw_payload" :\t'), raw, F.lit("\n , "), rest),
+    ]
+    pick = F.pmod(F.xxhash64("message_id"), F.lit(4))
+    foreign = F.when(pick == 0, orders[0]).when(pick == 1, orders[1])
+    ours = wire.encode(messages.withColumn("_foreign", foreign), "messages", keep=("_foreign",))
+    keyed = ours.withColumn("value", F.coalesce(F.col("_foreign").cast("binary"), "value")).withColumn("message_id", F.col("key").cast("string"))
     spots = F.conv(F.substring(F.sha1("key"), 1, 2), 16, 10).cast("int") % 4
     records = keyed.select(
         "topic", spots.alias("partition"), F.get_json_object(F.col("value").cast("string"), "$.message_seq").cast("bigint").alias("offset"), "key", "value"
     )
-    bad_values = F.explode(F.array(F.lit('{"schema_version":1,"message_id":"1"}'), F.lit("junk")))
+    poisons = ['{"schema_version":1,"message_id":"1"}', "junk", '{"schema_version":2,"raw_payload":{"type":1,"visibles":[]},"message_id":"1","visibles":["a"]}']
+    bad_values = F.explode(F.array(*map(F.lit, poisons)))
     poison = rows_of(spark, sf).groupBy("shard_table").agg(F.max("id").alias("offset")).select(
         F.lit("messages").alias("topic"), F.lit(0).alias("partition"), "offset", F.col("shard_table").cast("binary").alias("key"),
         bad_values.alias("value"),
@@ -1118,6 +1135,7 @@ def _(spark, sf):
 
 
 @query("poison_order", O.R + f"""SELECT reason, count(*) AS records FROM (SELECT '{C.INDEXER_SCHEMA}' AS reason FROM (SELECT DISTINCT shard_table FROM src), range(2)
+  UNION ALL SELECT '{C.INDEXER_UNTRUSTED}' FROM (SELECT DISTINCT shard_table FROM src)
   UNION ALL SELECT '{C.INDEXER_PERMANENT}' FROM routed WHERE outcome <> 'dlq' AND NOT regexp_matches(message_id, '^[+-]?[0-9]+$')) GROUP BY ALL""")
 def _(spark, sf):
     root = new_work_dir(spark, "poison")

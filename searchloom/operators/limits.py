@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,10 +63,21 @@ def request_bytes(docs: str) -> Column:
 
 
 def oversize_request(docs: str, limit: int = C.MAX_DOC_BYTES) -> Column:
-    """Whether no request can carry the documents. Encoding them is left out where the texts alone are far below the limit."""
-    raw = F.aggregate(docs, F.lit(0).cast("bigint"), lambda acc, d: acc + F.coalesce(F.octet_length(d["payloadRaw"]), F.lit(0)))
-    # a document repeats no more than its payload, escaped to six times its size at most, besides a few short fields
-    may = raw * 7 + F.size(docs) * 100_000 > limit
+    """Whether no request can carry the documents. Encoding them is left out where all their texts are far below the limit.
+
+    What a parent projects out of its payload repeats the payload's text, twice at most, in
+    escapes of up to six bytes; what it takes from the envelope is counted for each document.
+    A parent without its payload is always encoded.
+    """
+    size = lambda c: F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint")
+
+    def texts(d: Column) -> Column:
+        viewers = F.aggregate(F.coalesce(d["visibles"], F.array().cast("array<string>")), F.lit(0).cast("bigint"), lambda n, v: n + size(v) + 3)
+        return functools.reduce(lambda a, n: a + size(d[n]), ("payloadRaw", "from", "to", "channelId", "spaceId", "source"), viewers)
+
+    total = F.aggregate(docs, F.lit(0).cast("bigint"), lambda acc, d: acc + texts(d))
+    bare = F.exists(docs, lambda d: d["payloadRaw"].isNull() & d["parentMessageId"].isNull())
+    may = bare | (total * 13 + F.size(docs) * 100_000 > limit)
     return F.when(may, request_bytes(docs) > limit).otherwise(F.lit(False))
 
 

@@ -318,6 +318,23 @@ def test_decoding_is_strict(spark):
     assert (why[8], why[10]) == (C.INDEXER_UNTRUSTED, C.INDEXER_UNTRUSTED)
 
 
+def test_payloads_keep_their_text_in_any_field_order(spark):
+    texts = [
+        '{"type":1.0,"n":9007199254740993,"content":"x"}', '{ "type" : 1 , "a" : [ 1, {"raw_payload":{"b":"}"}} ] }', '{"type":1,"content":"a \\"quoted\\" ,\\"raw_payload\\": {"}',
+        '{"type":14,"content":[{"raw_payload":{"x":1}}],"raw_payload":{"y":[2]}}', '{"raw_payload":{"type":1}}', '{"type":1,"content":"\\\\"}',
+    ]
+    around = [
+        '{"schema_version":2,"message_id":"1","raw_payload":%s,"visibles":["a"],"created_at":5}', '{"raw_payload":%s,"schema_version":2}',
+        ' { "schema_version" : 2 , "raw_payload" :\t%s\n, "content":"raw_payload" } ', '{"schema_version":2,"content":"raw_payload","raw_payload":%s}',
+        '{"schema_version":2,"content":"}],\\"raw_payload\\":{","raw_payload":%s , "source":"s"}', '{"raw_payload":{"old":1},"schema_version":2,"raw_payload":%s,"message_id":"2"}',
+        '{"schema_version":2,"raw_payload":%s}  ', '{"extra":{"raw_payload":{"type":9}},"schema_version":2,"raw_payload":%s,"more":[{"raw_payload":1}]}',
+    ]
+    values = [a % t for a in around for t in texts]
+    df = spark.createDataFrame([("t", 0, i, b"k", v.encode()) for i, v in enumerate(values)], C.ddl(C.STREAM_FIELDS))
+    got = {r["offset"]: (r["reason"], r["raw_payload"]) for r in wire.decode(df).collect()}
+    assert [got[i] for i in range(len(values))] == [(None, t) for _ in around for t in texts]
+
+
 def test_messages_survive_the_wire(spark):
     m = messages(
         spark,
