@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from searchloom.session import new_work_dir
+from searchloom.session import new_work_dir, work_root
 
 
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -21,6 +21,16 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the folders of staged frames that nothing reads any more; frames that were not staged are left alone."""
+    for df in frames:
+        spark = df.sparkSession
+        below = f"{work_root(spark)}/searchloom/"
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles() if below in f}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_run(df: DataFrame, root: str, run: str) -> str:
     """Write the output of one run; writing it again replaces it.
 
