@@ -84,10 +84,7 @@ def run(rows: DataFrame, target: LoadTarget) -> DataFrame:
     )
     good = staged.where(F.col("leg") == "docs")
     docs = good.select("shard_table", "id", F.inline("docs"))
-    target.store.upsert(
-        upsert.newest_documents(docs, ["shard_table", "id"]),
-        keys=good.select(F.explode("docs.messageId").alias("messageId")),
-    )
+    target.store.upsert(upsert.newest_documents(docs, ["shard_table", "id"]))
     tops = staged.groupBy("shard_table").agg(F.max("id")).collect()  # one row per shard
     if not target.cursors.commit(version, {**cursors, **{s: top for s, top in tops}}):
         raise ConcurrentWrite("another load moved the cursors; what was written here is found again by key")

@@ -1,18 +1,21 @@
 """Prefixes, cursors, deliveries, dead letters, reconcile, files, streams."""
 
+import functools
 import json
 import os
+import random
 import tempfile
 
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from searchloom import contract as C
 from searchloom.functions import netx, textx
-from searchloom.operators import deadletters, delivery, documents, enrich, files, gates, limits, recon, search, stability, wire
+from searchloom.operators import deadletters, delivery, documents, enrich, files, gates, limits, recon, search, stability, upsert, wire
 from searchloom.plans import cutover, file_backfill, historical, incremental, reconcile
-from searchloom.sinks import pointer, tables
+from searchloom.sinks import docstore, pointer, tables
 from searchloom.sinks.docstore import ConcurrentWrite, DocumentStore
 from searchloom.sinks.pointer import UnreadablePointer, VersionedPointer
 from searchloom.sources import shards, streams
@@ -417,58 +420,186 @@ def test_load_reconcile_and_cutover(spark, root):
     assert alias.current() == "one"
 
 
-def test_store_rewrites_touched_ranges_only(spark, root):
-    store = DocumentStore(spark, f"{root}/docs", slot_width=100)
-    first = documents.from_contract(messages(spark, message(message_id="5", raw_payload='{"type":4}'), message(message_id="105", raw_payload='{"type":4}')))
-    store.upsert(first)
-    before = store.pointer.read()[1]
-    store.upsert(documents.from_contract(messages(spark, message(message_id="107", raw_payload='{"type":3}'))))
-    after = store.pointer.read()[1]
-    assert after["0"] == before["0"] and after["1"] != before["1"]
-    assert sorted(r["_id"] for r in store.read().collect()) == ["105", "107", "5"]
-    store.check_stored()
+def _doc(spark, id_, kind=4, text=None):
+    body = f'{{"type":{kind},"content":"{text}"}}' if text else f'{{"type":{kind}}}'
+    return documents.from_contract(messages(spark, message(message_id=str(id_), raw_payload=body)))
+
+
+def _ids(store):
+    return sorted((r["messageId"], r["payload"]["type"]) for r in store.read().collect())
+
+
+def _text(store, id_):
+    file = store.read().where(f"_id = '{id_}'").first()["payload"]["file"]
+    return file and (file["content"], file["contentMeta"] and file["contentMeta"]["status"])
+
+
+def _update(spark, *rows):
+    ddl = f"_id string, content string, contentMeta {C.META_DDL}"
+    meta = lambda status: None if status is None else (7, "x", None, None, status, None)
+    return spark.createDataFrame([(i, text, meta(status)) for i, text, status in rows], ddl)
 
 
-def _doc(spark, id_, kind=4):
-    return documents.from_contract(messages(spark, message(message_id=str(id_), raw_payload=f'{{"type":{kind}}}')))
+def test_small_batches_append_deltas(spark, root):
+    store = DocumentStore(spark, f"{root}/docs", slot_width=100)
+    for i in range(10):
+        store.upsert(_doc(spark, 100 * (i % 2) + i).unionByName(_doc(spark, 50, 3 if i == 9 else 4)))
+    state = store.state()
+    assert len(state.log) == 10 and not state.bases and state.contract == C.CONTRACT_VERSION
+    files = lambda: {f for f in store.read().inputFiles()}
+    before = files()
+    store.upsert(_doc(spark, 5))
+    assert len(files()) == len(before) + 1 and before < files()  # one file more, all others as they were
+    want = sorted([(50, 3), (5, 4), *[(100 * (i % 2) + i, 4) for i in range(10)]])
+    assert _ids(store) == want
+    assert store.compact() == [0, 1] and _ids(store) == want
+    state = store.state()
+    assert set(state.bases) == {"0", "1"} and state.log == [] and len(files()) == 2
+    # a range of one layer is read as it lies there
+    assert "Join" not in store.read()._jdf.queryExecution().toString()
+    store.check_stored()
 
 
-def test_writers_of_other_ranges_do_not_meet(spark, root, monkeypatch):
+def test_layers_keep_extracted_text(spark, root):
+    store = DocumentStore(spark, f"{root}/docs", slot_width=100)
+    gone = lambda *rows: sorted(r["_id"] for r in store.update_files(_update(spark, *rows)).collect())
+    store.upsert(_doc(spark, 1, 8).unionByName(_doc(spark, 2, 8)))
+    assert gone(("1", "one", None), ("9", "nobody's", None), ("x", "no number", None)) == ["9", "x"]
+    store.upsert(_doc(spark, 1, 2))
+    assert _text(store, 1) == ("one", None) and _text(store, 2) == (None, None)
+    assert gone(("1", None, "unextractable"), ("2", "two", "s")) == []
+    for _ in range(2):
+        assert _text(store, 1) == ("one", "unextractable") and _text(store, 2) == ("two", "s")
+        store.compact()
+    store.upsert(_doc(spark, 2, 8))
+    gone(("2", "newer", None))
+    assert _text(store, 2) == ("newer", "s") and _ids(store) == [(1, 2), (2, 8)]
+
+
+def test_folding_layers_is_a_chain_of_joins(spark):
+    rng = random.Random(4)
+    base = documents.from_contract(messages(spark, *[message(message_id=str(i), raw_payload='{"type":8,"name":"n"}') for i in range(30)]))
+    base = tables.staged(base, "chain").withColumn("version", F.lit(0))
+    docs = old = None
+    updates, none = _update(spark), _update(spark)
+    updates = updates.withColumn("seq", F.lit(0).cast("bigint"))
+    old = base.drop("version").limit(0)
+    docs = old.withColumn("seq", F.lit(0).cast("bigint"))
+    for seq in range(1, 6):
+        ids = [str(i) for i in range(30) if rng.random() < 0.5]
+        if seq in (1, 3):
+            own = {i: (f"own{seq}", (seq, f"e{seq}", None, None, None, "r")) for i in ids if rng.random() < 0.5}
+            new = base.where(F.col("_id").isin(ids)).drop("version").withColumn("messageSeq", F.lit(seq).cast("bigint"))
+            brought = spark.createDataFrame([(i, t, m) for i, (t, m) in own.items()], f"_id string, content string, contentMeta {C.META_DDL}")
+            new = tables.staged(upsert.partial_update(new, brought), "chain")
+            old = tables.staged(upsert.upsert(old, new), "chain")
+            docs = docs.unionByName(new.withColumn("seq", F.lit(seq).cast("bigint")))
+        else:
+            known = [r[0] for r in old.select("_id").collect()]
+            rows = [(i, rng.choice([None, f"t{seq}"]), rng.choice([None, f"s{seq}"])) for i in ids if i in known]
+            u = tables.staged(_update(spark, *rows), "chain")
+            old = tables.staged(upsert.partial_update(old, u), "chain")
+            updates = updates.unionByName(u.withColumn("seq", F.lit(seq).cast("bigint")))
+    as_text = lambda df: sorted(map(str, df.select(*C.DOC_COLUMNS).collect()))
+    assert as_text(upsert.folded(docs, updates)) == as_text(old) and old.count() > 20
+    assert none.count() == 0
+
+
+def test_writers_never_undo_each_other(spark, root, monkeypatch):
     a, b = (DocumentStore(spark, f"{root}/docs", slot_width=100) for _ in range(2))
     a.upsert(_doc(spark, 5))
-    written, others = DocumentStore._written_slots, [_doc(spark, 205), _doc(spark, 7, 3), _doc(spark, 8)]
+    written, others = DocumentStore._written_slots, [_doc(spark, 205), _doc(spark, 7, 3), _doc(spark, 6, 3)]
 
     def late(self, folder):
-        # while the files of a are written, b publishes: another range, then the same one
+        # while the files of a are written, b publishes
         if self is a and others:
             b.upsert(others.pop(0))
         return written(self, folder)
 
     monkeypatch.setattr(DocumentStore, "_written_slots", late)
     a.upsert(_doc(spark, 6))
-    assert sorted(r["_id"] for r in a.read().collect()) == ["205", "5", "6"]
-    a.upsert(_doc(spark, 9))  # both others change its range: merged again, and again
-    assert sorted(r["_id"] for r in a.read().collect()) == ["205", "5", "6", "7", "8", "9"]
-    others.extend(_doc(spark, 10 + i) for i in range(9))
-    with pytest.raises(ConcurrentWrite):
-        a.upsert(_doc(spark, 30))
+    reader = a.read()
+    a.upsert(_doc(spark, 9))
+    assert _ids(a) == [(5, 4), (6, 4), (7, 3), (9, 4), (205, 4)]
+    # a compaction beside a writer and a reader: the delta in between stays, the reader's files too
+    assert a.compact(slots=[0]) == [0]
+    assert _ids(a) == [(5, 4), (6, 3), (7, 3), (9, 4), (205, 4)] and len(a.state().log) == 2
+    assert sorted(r["_id"] for r in reader.collect()) == ["205", "5", "6"]
+
+
+def test_of_two_compactions_one_counts(spark, root, monkeypatch):
+    a, b = (DocumentStore(spark, f"{root}/docs", slot_width=100) for _ in range(2))
+    for i in (1, 2, 101):
+        a.upsert(_doc(spark, i))
+    a.upsert(_doc(spark, 102))
+    written, first = DocumentStore._written_slots, [True]
+
+    def late(self, folder):
+        if self is a and first:
+            first.clear()
+            assert b.compact(slots=[1]) == [1]
+            b.upsert(_doc(spark, 103))
+        return written(self, folder)
+
+    monkeypatch.setattr(DocumentStore, "_written_slots", late)
+    assert a.compact() == [0] and _ids(a) == [(i, 4) for i in (1, 2, 101, 102, 103)]
+
+
+def test_drops_cover_what_was_written_before(spark, root):
+    store = DocumentStore(spark, f"{root}/docs", slot_width=100)
+    store.upsert(functools.reduce(DataFrame.unionByName, [_doc(spark, i, 8) for i in (5, 95, 105, 195, 205)]))
+    store.update_files(_update(spark, ("95", "text", None), ("105", "text", None)))
+    store.drop(90, 200)
+    assert _ids(store) == [(5, 8), (205, 8)]
+    assert [r["_id"] for r in store.update_files(_update(spark, ("95", "late", None), ("5", "five", None))).collect()] == ["95"]
+    store.upsert(_doc(spark, 95, 4))
+    assert _ids(store) == [(5, 8), (95, 4), (205, 8)] and _text(store, 95) is None
+    # the range in the middle is gone, the last one still is its first delta
+    assert store.compact() == [0, 1] and [e["slots"] for e in store.state().log] == [[2]] and set(store.state().bases) == {"0"}
+    assert _ids(store) == [(5, 8), (95, 4), (205, 8)] and _text(store, 5) == ("five", None)
+
+
+def test_id_lookups_open_touched_ranges_only(spark, root, monkeypatch):
+    store = DocumentStore(spark, f"{root}/docs", slot_width=100)
+    store.upsert(functools.reduce(DataFrame.unionByName, [_doc(spark, 100 * k + i) for k in range(6) for i in (1, 2)]))
+    store.upsert(_doc(spark, 101, 3))
+    ids = spark.createDataFrame([("101",), ("402",), ("999",), ("2-rt1",), ("x",), (None,), ("101",)], "doc_id string")
+    for scanned in (1000, 0):
+        monkeypatch.setattr(docstore, "SCANNED_IDS", scanned)
+        found = store.read_ids(ids)
+        assert sorted((r["_id"], r["payload"]["type"]) for r in found.collect()) == [("101", 3), ("402", 4)]
+        opened = {f.split("slot=")[1].split("/")[0] for f in found.inputFiles() if "slot=" in f}
+        assert opened == {"0", "1", "4"}
+        assert "PushedFilters: [" in found._jdf.queryExecution().toString() and "messageId" in found._jdf.queryExecution().toString()
 
 
 def test_stored_files_are_checked_and_cleaned(spark, root):
     store = DocumentStore(spark, f"{root}/docs", slot_width=100)
     store.upsert(_doc(spark, 5))
     store.upsert(_doc(spark, 6))
-    assert store.clean() == [] and len(store.clean(older_than_s=-60)) == 1 and store.read().count() == 2
-    _, current = store.pointer.read()
+    store.compact()
+    assert store.clean() == [] and len(store.clean(older_than_s=-60)) == 2 and store.read().count() == 2
+    store.upsert(_doc(spark, 7))
+    folder = store.state().log[-1]["folder"]
     # files of an older layout, put there behind our back
     old = store.read().drop("subSeq")
-    tables.staged(old, "old").coalesce(1).write.mode("overwrite").parquet(f"{root}/docs/{current['0']}/slot=0")
+    tables.staged(old, "old").coalesce(1).write.mode("overwrite").parquet(f"{root}/docs/{folder}/slot=0")
     with pytest.raises(gates.GateError):
         store.check_stored()
     with pytest.raises(gates.GateError):
         indexing.start(None, store, f"{root}/dlq", f"{root}/cp")
 
 
+def test_tables_of_an_older_contract_are_refused(spark, root, monkeypatch):
+    store = DocumentStore(spark, f"{root}/docs")
+    monkeypatch.setattr(C, "CONTRACT_VERSION", 1)
+    store.upsert(_doc(spark, 5))
+    monkeypatch.undo()
+    assert store.contract_version() == 1
+    with pytest.raises(gates.GateError):
+        indexing.start(None, store, f"{root}/dlq", f"{root}/cp")
+
+
 def test_index_and_file_streams(spark, root):
     h = "https://h/"
     items = [
