@@ -1,34 +1,53 @@
 """URL filters: rules first, then a tree of path templates for each host.
 
-A url's path is cut into segments. Numbers, hex strings and dates become typed wildcards at once.
-Then, at every node of a host's tree, children that carry little of the node become ``*``, and
-the rest, of which a node has at most ``1 / MIN_SHARE``, are merged with their neighbours in
-order of bad share as long as a two-proportion test finds no difference. What a url's segments turn
-into is its template. A template is rejected if its share of bad urls among the labelled ones,
-smoothed towards that of its host, and that towards the whole, reaches ``REJECT``. Labels are the
-verdicts of the rules, and more can be given.
+A url's path is cut into segments. Numbers, hex strings, dates and tokens become typed wildcards at
+once. The tree of a host is then built level by level. At each node its children, summed over all
+that lies below them, turn into branches, and the next level groups by branches, so what lies below
+a wildcard is pooled:
+
+* a typed wildcard stays what it is;
+* a child with ``MIN_LABELS`` and more labels is compared with all other such children of its node by
+  a two-proportion test, whose threshold grows with their number. If it is apart, it stays as it
+  is, whatever its share; those that are alike are merged, named after the least of them and
+  how many there are besides;
+* of the others, children of a variable segment, and rare ones anywhere, become ``*``; a
+  segment is variable if more than ``SECTIONS`` children of it are not rare. In all other nodes they
+  stay as they are. So labels never speak for a section without labels of its own.
+
+What a url's segments turn into is its template. A template is rejected if its share of bad urls
+among its labelled ones, smoothed towards that of the whole, reaches ``REJECT``, and the
+lower confidence bound of the share itself reaches ``LEAST``. Without labels of its own it is never
+rejected. Labels are the verdicts of the rules, and more can be given.
 
 Urls are summed to shapes (host and typed path) before anything else, so a host that holds a
-third of all urls is a few rows for each of its shapes; nodes are sums over those.
+third of all urls is a few rows for each of its shapes. Nodes are sums over those; nothing is
+gathered or sorted for a node, however many children it has.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, and the verdict of
 the template of those. Repeated urls count as often as they are there. Segments past ``MAX_DEPTH``
-are one ``**``. Empty tables give no rows. Other columns are not read.
+are one ``**``; a very long segment is one like any other. Empty tables give no rows. Other columns
+are not read, whatever they are called.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from searchloom.llm.texts import ascii_lower, named, whole
 from searchloom.sinks.tables import staged
 
 MAX_DEPTH = 8
-MIN_CHILD, MIN_SHARE = 3, 0.05
-SAME_Z = 1.96
+#: urls of a child that is not rare, and how many such children a segment that is not variable may have
+MIN_CHILD, SECTIONS = 3, 20
+MIN_LABELS = 5
+#: standard deviations apart for two children; more by chance among many
+APART_Z = 2.0
 PRIOR_WEIGHT, REJECT = 4.0, 0.8
+#: lower bound of a rejected template's share, at so many standard deviations
+LEAST, BOUND_Z = 0.7, 1.645
 
 #: (pattern of a whole segment, what stands for it), tried in this order
 TYPED = [
@@ -82,53 +101,62 @@ def _smoothed(bad: str, labelled: str, prior: Column) -> Column:
     return (F.col(bad) + prior * PRIOR_WEIGHT) / (F.col(labelled) + PRIOR_WEIGHT)
 
 
-def _nodes(shapes: DataFrame) -> DataFrame:
-    """(host, shape, depth, parent, child) of each shape's path through its host's tree."""
-    parts = F.split("shape", "/")
-    rows = shapes.select("host", "shape", "n", "bad", "labelled", "prior", parts.alias("parts"), F.posexplode(parts).alias("depth", "child"))
-    return rows.withColumn("parent", F.array_join(F.slice("parts", F.lit(1), F.col("depth")), "/")).drop("parts")
-
-
-def branches(shapes: DataFrame) -> DataFrame:
-    """(host, depth, parent, child, branch): what each child of each node turns into."""
-    key = ["host", "depth", "parent"]
-    children = _nodes(shapes).groupBy(*key, "child").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"), F.first("prior").alias("prior"))
-    totals = children.groupBy(*key).agg(F.sum("n").alias("all"))
-    # at most 1 / MIN_SHARE children of a node are left, so the windows below are small
-    kept = children.join(totals, key).where((F.col("n") >= MIN_CHILD) & (F.col("n") >= F.col("all") * MIN_SHARE))
-    rate = kept.withColumn("rate", _smoothed("bad", "labelled", F.col("prior"))).withColumn("weight", F.col("labelled") + PRIOR_WEIGHT)
-    order = W.partitionBy(*key).orderBy("rate", "child")
-    last, before = F.lag("rate").over(order), F.lag("weight").over(order)
-    rate = rate.withColumn("last", last).withColumn("before", before)
-    pooled = (F.col("rate") * F.col("weight") + F.col("last") * F.col("before")) / (F.col("weight") + F.col("before"))
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("weight") + 1 / F.col("before")))
-    apart = F.col("last").isNull() | (F.col("rate") - F.col("last") > spread * SAME_Z)
-    merged = rate.withColumn("run", F.sum(apart.cast("int")).over(order))
-    names = F.array_join(F.array_sort(F.collect_list("child").over(W.partitionBy(*key, "run"))), "|")
-    return merged.select(*key, "child", names.alias("branch"))
+def _lower(bad: str, labelled: str) -> Column:
+    """Lower bound of the share of bad ones (Wilson's score interval); 0 without labels."""
+    n, z = F.col(labelled).cast("double"), BOUND_Z
+    p = F.col(bad) / n
+    return F.when(n > 0, (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)).otherwise(0.0)
+
+
+def steps(children: DataFrame) -> DataFrame:
+    """(host, prefix, child, step): what each child (host, prefix, child, n, bad, labelled) of each node turns into."""
+    node = ["host", "prefix"]
+    typed = F.col("child").rlike(r"^(\{|\*\*)")
+    tested = ~typed & (F.col("labelled") >= MIN_LABELS)
+    children = children.withColumn("tested", tested)
+    sums = children.groupBy(*node).agg(
+        F.count_if(~typed & (F.col("n") >= MIN_CHILD)).alias("sections"), F.count_if("tested").alias("m"),
+        F.sum(F.when(F.col("tested"), F.col("bad")).otherwise(0)).alias("all_bad"), F.sum(F.when(F.col("tested"), F.col("labelled")).otherwise(0)).alias("all_labelled"),
+    )
+    rest_bad, rest = F.col("all_bad") - F.col("bad"), F.col("all_labelled") - F.col("labelled")
+    pooled = F.col("all_bad") / F.col("all_labelled")
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / rest))
+    apart = F.when(rest > 0, F.abs(F.col("bad") / F.col("labelled") - rest_bad / rest) > spread * (F.sqrt(2 * F.log(F.col("m").cast("double"))) + APART_Z)).otherwise(False)
+    judged_ = children.join(sums, node).select(*node, "child", "n", "tested", "sections", F.when(F.col("tested"), apart).alias("apart"))
+    alike = judged_.where("tested AND NOT apart").groupBy(*node).agg(F.min("child").alias("first"), F.count("*").alias("members"))
+    found = judged_.join(alike, node, "left")
+    merged = F.when(F.col("members") > 1, F.concat("first", F.lit("|+"), (F.col("members") - 1).cast("string"))).otherwise(F.col("child"))
+    variable = (F.col("n") < MIN_CHILD) | (F.col("sections") > SECTIONS)
+    step = F.when(typed, F.col("child")).when(F.col("tested"), F.when(F.col("apart"), F.col("child")).otherwise(merged)).when(variable, F.lit("*")).otherwise(F.col("child"))
+    return found.select(*node, "child", step.alias("step"))
 
 
 def templates(rows: DataFrame) -> DataFrame:
-    """(host, shape, template, purity) from rows with host, shape and bad (1, 0, or null without a label)."""
+    """(host, shape, template, purity, lower) from rows with host, shape and bad (1, 0, or null without a label)."""
     shapes = staged(rows.groupBy("host", "shape").agg(F.count("*").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.count("bad").alias("labelled")), "url-shapes")
     whole_ = shapes.agg(F.sum("bad"), F.sum("labelled")).first()
     base = F.lit((whole_[0] or 0) / whole_[1] if whole_[1] else 0.0)
-    hosts = shapes.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum("labelled").alias("host_labelled"))
-    hosts = hosts.select("host", _smoothed("host_bad", "host_labelled", base).alias("prior"))
-    shapes = staged(shapes.join(hosts, "host"), "url-priors")
-    steps = _nodes(shapes).join(branches(shapes), ["host", "depth", "parent", "child"], "left")
-    # typed wildcards stay what they are
-    step = F.coalesce("branch", F.when(F.col("child").rlike(r"^(\{|\*\*)"), F.col("child")), F.lit("*"))
-    paths = steps.groupBy("host", "shape").agg(F.array_sort(F.collect_list(F.struct("depth", step.alias("step")))).alias("steps"))
-    named_ = paths.select("host", "shape", F.array_join(F.transform("steps", lambda s: s["step"]), "/").alias("template"))
-    named_ = staged(shapes.join(named_, ["host", "shape"]), "url-templates")
-    sums = named_.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"), F.first("prior").alias("prior"))
-    sums = sums.select("host", "template", _smoothed("bad", "labelled", F.col("prior")).alias("purity"))
-    return named_.select("host", "shape", "template").join(sums, ["host", "template"])
+    open_ = shapes.withColumn("prefix", F.lit(""))
+    done = []
+    for depth in range(MAX_DEPTH + 1):
+        level = open_.withColumn("child", F.get(F.split("shape", "/"), F.lit(depth)))
+        children = level.groupBy("host", "prefix", "child").agg(*[F.sum(c).alias(c) for c in ("n", "bad", "labelled")])
+        named_ = level.join(steps(children), ["host", "prefix", "child"])
+        ends = F.size(F.split("shape", "/")) == depth + 1
+        prefix = F.col("step") if depth == 0 else F.concat("prefix", F.lit("/"), "step")
+        level = staged(named_.select(*shapes.columns, prefix.alias("prefix"), ends.alias("ends")), "url-level")
+        done.append(level.where("ends").drop("ends"))
+        open_ = level.where("NOT ends").drop("ends")
+        if open_.isEmpty():
+            break
+    found = functools.reduce(DataFrame.unionByName, done).withColumnRenamed("prefix", "template")
+    sums = found.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
+    sums = sums.select("host", "template", _smoothed("bad", "labelled", base).alias("purity"), _lower("bad", "labelled").alias("lower"))
+    return found.select("host", "shape", "template").join(sums, ["host", "template"])
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", labels: DataFrame | None = None) -> DataFrame:
-    """Per row: id, ``host``, ``path``, ``rule``, ``verdict``, ``template``, ``purity`` (bad share of the template, 6 decimals).
+    """Per row: id, ``host``, ``path``, ``rule``, ``verdict``, ``template``, ``purity`` (smoothed bad share of the template, 6 decimals).
 
     ``labels`` may hold (id, bad) with bad 1 or 0, one row for an id; rules come first.
     """
@@ -139,7 +167,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_i
         known = rows.join(labels.select(named(id_col).alias("_id"), F.col("bad").cast("int").alias("given")), "_id", "left")
         ruled = F.coalesce(ruled, "given")
     found = staged(templates(known.select("host", "shape", ruled.alias("bad"))), "url-judged")
-    method = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
+    method = F.when((F.col("purity") >= REJECT) & (F.col("lower") >= LEAST), "block").otherwise("allow")
     return rows.join(found, ["host", "shape"], "left").select(
         F.col("_id").alias(id_col), "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.verdict", method).alias("verdict"), "template", F.round("purity", 6).alias("purity")
     )
