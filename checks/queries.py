@@ -136,9 +136,11 @@ def _(spark, sf):
     return shards.scan(rows_of(spark, sf), CURSORS).withColumn("payload", F.col("payload").cast("string"))
 
 
-@query("files_pending", O.D + "SELECT doc_id AS message_id, file_url AS url, file_name AS name, file_extension AS extension, file_size AS size FROM docs WHERE payload_type = 8")
+# after a run: files with a text, and those that never will have one, are not pending any more
+@query("files_pending", O.X + f"""SELECT doc_id AS message_id, file_url AS url, file_name AS name, file_extension AS extension, file_size AS size FROM docs
+  WHERE payload_type = 8 AND doc_id NOT IN (SELECT message_id FROM extracted WHERE outcome = 'ok' OR outcome IN {O._in(C.TOMBSTONE_REASONS)})""")
 def _(spark, sf):
-    return files.pending_files(docs_of(spark, sf))
+    return files.pending_files(upsert.partial_update(docs_of(spark, sf), file_backfill.file_updates(outcomes_of(spark, sf), NOW)))
 
 
 @query("dlq_window_ids", O.L + f"SELECT DISTINCT message_id FROM letters WHERE message_id <> '' AND created_at BETWEEN {FROM} AND {MID}")
@@ -747,16 +749,17 @@ def _(spark, sf):
     return done.unionByName(upsert.unmatched_updates(docs, updates)).withColumnRenamed("_id", "doc_id")
 
 
-# every message delivered twice, the second time from another partition with a marked source
-@query("doc_latest", O.D + "SELECT doc_id, 'second' AS source, 1 AS partition FROM docs")
+@query("doc_latest", O.D + """SELECT doc_id, source, partition FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY partition DESC, spot DESC) AS place FROM (
+  SELECT doc_id, 'first' AS source, (message_id // 1000) % 3 AS partition, coalesce(message_seq, 0) AS spot FROM docs
+  UNION ALL SELECT doc_id, 'second', (message_id // 1000 + 1) % 3, coalesce(message_seq, 0) + 1 FROM docs
+  UNION ALL SELECT doc_id, 'third', (message_id // 1000) % 3, coalesce(message_seq, 0) + 2 FROM docs)) WHERE place = 1""")
 def _(spark, sf):
-    # the copies come out of one pass over the documents
-    copies = F.array(
-        F.struct(F.lit("first").alias("source"), F.lit(0).alias("partition"), F.col("messageSeq").alias("offset")),
-        F.struct(F.lit("second").alias("source"), F.lit(1).alias("partition"), F.col("messageSeq").alias("offset")),
-    )
-    both = docs_of(spark, sf).select(F.col("_id").alias("doc_id"), "messageSeq", F.inline(copies))
-    return delivery.latest_delivery(both, "doc_id", ["partition", "offset"]).select("doc_id", "source", "partition")
+    # every message is delivered three times; which delivery is the last depends on its number
+    number, seq = F.floor(F.col("messageId") / 1000), F.coalesce("messageSeq", F.lit(0))
+    copy = lambda name, part, offset: F.struct(F.lit(name).alias("source"), part.cast("int").alias("partition"), offset.alias("offset"))
+    copies = F.array(copy("first", number % 3, seq), copy("second", (number + 1) % 3, seq + 1), copy("third", number % 3, seq + 2))
+    all_ = docs_of(spark, sf).select(F.col("_id").alias("doc_id"), F.inline(copies))
+    return delivery.latest_delivery(all_, "doc_id", ["partition", "offset"]).select("doc_id", "source", "partition")
 
 
 # ---- reconcile ----------------------------------------------------------------------------
@@ -857,9 +860,12 @@ def _(spark, sf):
     return recon.push_payload(recon.full_report(verdict, health), NOW)
 
 
-@query("doc_order_unique", O.D + "SELECT ts AS timestamp, message_id AS \"messageId\", sub_seq AS \"subSeq\", count(*) AS documents FROM docs GROUP BY ALL HAVING count(*) > 1")
+# a table in which the documents without a search form are there twice
+@query("doc_order_unique", O.D + """SELECT ts AS timestamp, message_id AS "messageId", sub_seq AS "subSeq", count(*) AS documents
+  FROM (SELECT ts, message_id, sub_seq FROM docs UNION ALL SELECT ts, message_id, sub_seq FROM docs WHERE raw_excluded) GROUP BY ALL HAVING count(*) > 1""")
 def _(spark, sf):
-    return recon.order_clashes(docs_of(spark, sf))
+    docs = docs_of(spark, sf)
+    return recon.order_clashes(docs.unionByName(docs.where("rawExcluded")))
 
 
 @query("visibles_equal", O.R + "SELECT id, shard_table, list_sort(visibles) = list_sort(list_concat(visibles[2:], visibles[1:1])) AS rotated_same, list_sort(visibles) = list_sort(list_distinct(visibles)) AS distinct_same FROM routed WHERE visibles IS NOT NULL")

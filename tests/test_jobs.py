@@ -630,6 +630,24 @@ def test_index_and_file_streams(spark, root):
     assert {r["_id"]: r["payload"]["file"] for r in store.read().collect()}["1"]["content"] == "text one"
 
 
+def test_a_newer_delivery_replaces_a_waiting_one(spark, root):
+    store = DocumentStore(spark, f"{root}/docs")
+    bodies = spark.createDataFrame([("https://h/old.txt", bytearray(b"old text")), ("https://h/new.txt", bytearray(b"new text"))], "url string, body binary")
+    leg = extraction.FileLeg(store, bodies, ["h"], root)
+    sent = lambda url: messages(spark, message(message_id="1", raw_payload=f'{{"type":8,"url":"https://h/{url}.txt","name":"a.txt"}}'))
+    place = lambda url, offset: wire.encode(sent(url), "t").withColumn("partition", F.lit(0)).withColumn("offset", F.lit(offset).cast("bigint"))
+    waiting = lambda: [(r["url"][10:13], r["offset"], r["attempts"]) for r in leg.waiting().collect()]
+    leg.run(place("old", 5), "a", 100)
+    assert waiting() == [("old", 5, 1)]
+    leg.run(place("new", 6), "b", 500)  # the old one is due, the new one counts
+    assert waiting() == [("new", 6, 1)]
+    leg.run(place("old", 5), "c", 500)  # an older place comes again: the new one keeps waiting
+    assert waiting() == [("new", 6, 1)]
+    store.upsert(documents.from_contract(sent("new")))
+    leg.retry_due(9000)
+    assert waiting() == [] and store.read().first()["payload"]["file"]["content"] == "new text"
+
+
 def test_text_of_a_late_document_is_retried(spark, root):
     h = "https://h/"
     m = messages(spark, message(message_id="1", raw_payload=f'{{"type":8,"url":"{h}1","name":"a.txt"}}'))
