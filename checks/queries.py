@@ -30,6 +30,7 @@ from searchloom.session import configure, new_work_dir
 from searchloom.sinks import tables
 from searchloom.sinks.docstore import DocumentStore
 from searchloom.sinks.pointer import VersionedPointer
+from searchloom.sinks.searchindex import SearchIndex
 from searchloom.sources import driver_tables, shards, streams
 from searchloom.streaming import extraction, indexing
 
@@ -755,7 +756,7 @@ def _(spark, sf):
   UNION ALL SELECT doc_id, 'third', (message_id // 1000) % 3, coalesce(message_seq, 0) + 2 FROM docs)) WHERE place = 1""")
 def _(spark, sf):
     # every message is delivered three times; which delivery is the last depends on its number
-    number, seq = F.floor(F.col("messageId") / 1000), F.coalesce("messageSeq", F.lit(0))
+    number, seq = F.expr("messageId div 1000"), F.coalesce("messageSeq", F.lit(0))
     copy = lambda name, part, offset: F.struct(F.lit(name).alias("source"), part.cast("int").alias("partition"), offset.alias("offset"))
     copies = F.array(copy("first", number % 3, seq), copy("second", (number + 1) % 3, seq + 1), copy("third", number % 3, seq + 2))
     all_ = docs_of(spark, sf).select(F.col("_id").alias("doc_id"), F.inline(copies))
@@ -949,7 +950,14 @@ def _words(col: str) -> str:
 
 @query("match_query", O.D + f"SELECT doc_id, text_content FROM docs WHERE text_content IS NOT NULL AND list_has_any({_words('text_content')}, ['signup', '改期', 'the'])")
 def _(spark, sf):
-    return docs_of(spark, sf).where(search.match("payload.text.content", "Signup 改期 the")).select(F.col("_id").alias("doc_id"), F.col("payload.text.content").alias("text_content"))
+    """Words looked up in the stored index, the documents found by id in the store."""
+    root = new_work_dir(spark, "match")
+    store = DocumentStore(spark, f"{root}/docs", **SLOTS)
+    store.upsert(docs_of(spark, sf))
+    index = SearchIndex(store, f"{root}/index")
+    index.update()
+    found = store.read_ids(index.match("Signup 改期 the", "payload.text.content"))
+    return found.select(F.col("_id").alias("doc_id"), F.col("payload.text.content").alias("text_content"))
 
 
 @query("bool_query", O.D + f"SELECT doc_id FROM docs WHERE created_at BETWEEN {FROM} AND {MID} AND channel_type = 2 AND NOT coalesce(virtual, FALSE) AND NOT coalesce(raw_excluded, FALSE)")
@@ -966,8 +974,10 @@ def _(spark, sf):
 
 @query("ids_query", O.D + "SELECT doc_id, message_seq FROM docs WHERE doc_id IN (SELECT message_id FROM src WHERE channel_type = 1)")
 def _(spark, sf):
+    store = DocumentStore(spark, new_work_dir(spark, "ids"), **SLOTS)
+    store.upsert(docs_of(spark, sf))
     ids = rows_of(spark, sf).where("channel_type = 1").select(F.col("message_id").alias("doc_id"))
-    return search.by_ids(docs_of(spark, sf), ids).select(F.col("_id").alias("doc_id"), F.col("messageSeq").alias("message_seq"))
+    return store.read_ids(ids).select(F.col("_id").alias("doc_id"), F.col("messageSeq").alias("message_seq"))
 
 
 @query("range_query", O.D + f"SELECT doc_id, created_at FROM docs WHERE created_at BETWEEN {FROM + 86400} AND {MID}")

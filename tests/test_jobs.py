@@ -18,6 +18,7 @@ from searchloom.plans import cutover, file_backfill, historical, incremental, re
 from searchloom.sinks import docstore, pointer, tables
 from searchloom.sinks.docstore import ConcurrentWrite, DocumentStore
 from searchloom.sinks.pointer import UnreadablePointer, VersionedPointer
+from searchloom.sinks.searchindex import SearchIndex
 from searchloom.sources import shards, streams
 from searchloom.streaming import extraction, indexing
 from tests.helpers import message, messages, row, rows
@@ -573,6 +574,43 @@ def test_id_lookups_open_touched_ranges_only(spark, root, monkeypatch):
         assert "PushedFilters: [" in found._jdf.queryExecution().toString() and "messageId" in found._jdf.queryExecution().toString()
 
 
+def test_index_follows_the_table(spark, root):
+    store = DocumentStore(spark, f"{root}/docs", slot_width=100)
+    index = SearchIndex(store, f"{root}/index")
+    found = lambda q, field=None: sorted((int(r["doc_id"]), r["words"], r["tf"]) for r in index.match(q, field).collect())
+    assert not index.update() and found("anything") == []
+    store.upsert(_doc(spark, 1, 1, "the cat and The dog").unionByName(_doc(spark, 2, 1, "会议室 cat")).unionByName(_doc(spark, 150, 1, "dog")))
+    assert index.update() and not index.update()
+    assert found("THE cat") == [(1, 2, 3), (2, 1, 1)] and found("会议") == [(2, 1, 1)] and found("室") == []
+    assert found("cat", "payload.file.content") == [] and found("cat", "payload.text.content") == [(1, 1, 1), (2, 1, 1)]
+    store.upsert(_doc(spark, 1, 1, "only dogs").unionByName(_doc(spark, 3, 8)))
+    store.update_files(_update(spark, ("3", "a file about a cat", None)))
+    index.update()
+    for _ in range(2):
+        assert found("cat the") == [(2, 1, 1), (3, 1, 1)] and found("dogs") == [(1, 1, 1)]
+        assert {tuple(r) for r in index.frequencies("cat dogs a nothing").collect()} == {("cat", 2), ("dogs", 1), ("a", 1)}
+        index.compact()
+    assert len(index.pointer.read()[1]["segments"]) == 1
+    store.upsert(_doc(spark, 2, 1, "gone"))
+    store.compact()  # the log between is gone: the range is indexed as a whole
+    store.drop(100, 200)
+    index.update()
+    assert found("cat") == [(3, 1, 1)] and found("gone") == [(2, 1, 1)] and found("dog") == []
+    index.compact()
+    assert found("cat gone dog") == [(2, 1, 1), (3, 1, 1)]
+
+
+def test_a_search_opens_the_folders_of_its_words(spark, root):
+    store = DocumentStore(spark, f"{root}/docs")
+    index = SearchIndex(store, f"{root}/index")
+    store.upsert(functools.reduce(DataFrame.unionByName, [_doc(spark, i, 1, f"word{i} and word{i + 1}") for i in range(1, 30)]))
+    index.update()
+    opened = index.match("word3 word8").inputFiles()
+    buckets = {f.split("bucket=")[1].split("/")[0] for f in opened}
+    assert len(opened) == len(buckets) <= 2 and all("/postings/" in f for f in opened)
+    assert "PushedFilters: [In(token" in index.postings("word3 word8")._jdf.queryExecution().toString()
+
+
 def test_stored_files_are_checked_and_cleaned(spark, root):
     store = DocumentStore(spark, f"{root}/docs", slot_width=100)
     store.upsert(_doc(spark, 5))
