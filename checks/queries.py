@@ -631,11 +631,11 @@ def _(spark, sf):
     moved = incremental.run_tick(rows_of(spark, sf), pointer, out, NOW, O.LAG)
     spots = spark.createDataFrame(list(moved.items()), "shard_table string, cursor bigint")
     ids = rows_of(spark, sf).select("shard_table", "message_id", "created_unix")
-    written = incremental.main_records(spark, out).select(
+    written = incremental.main_records(spark, out, pointer).select(
         F.col("key").cast("string").alias("message_id"), F.get_json_object(F.col("value").cast("string"), "$.created_at").cast("bigint").alias("created_unix")
     )
     main = ids.join(written, ["message_id", "created_unix"], "left_semi").groupBy("shard_table").agg(F.count(F.lit(1)).alias("main"))
-    dead = spark.read.parquet(f"{out}/dlq").groupBy("shard_table").agg(F.count(F.lit(1)).alias("dlq"))
+    dead = incremental.dead_records(spark, out, pointer).groupBy("shard_table").agg(F.count(F.lit(1)).alias("dlq"))
     return spots.join(main, "shard_table", "left").join(dead, "shard_table", "left").select("shard_table", "cursor", "main", "dlq")
 
 

@@ -32,31 +32,71 @@ def planned(rows: DataFrame, now_unix: int, lag: int, limit: int = C.MAX_MESSAGE
     )
 
 
+#: names of published runs that stay in the pointer; more are folded into a file that it names
+RUNS_IN_POINTER = 1000
+MAIN_DDL = "topic string, key binary, value binary"
+
+
+def progress(cursors: VersionedPointer) -> tuple[int, dict]:
+    """(version, cursors by shard, and the runs that count) of a leg."""
+    version, value = cursors.read()
+    return version, {"cursors": {}, "runs": [], "folded": [], **value}
+
+
 def run_tick(
     rows: DataFrame, cursors: VersionedPointer, out: str, now_unix: int, lag: int, topic: str = "messages"
 ) -> dict[str, int]:
     """Publish the stable rows above the cursors, then move the cursors to the prefix end.
 
-    Main records first, then dead letters, then one compare-and-set. A tick that fails or
-    loses the race leaves its records behind and they are published again: readers upsert
-    by message_id. Returns the cursors now valid.
+    Main records first, then dead letters, then one compare-and-set that moves the cursors and
+    names what this tick has written. Readers take named runs only, so a tick that fails or
+    loses the race leaves files behind that nobody sees, and each record is seen once. Returns
+    the cursors now valid.
     """
-    version, current = cursors.read()
+    version, state = progress(cursors)
+    current = state["cursors"]
     # the source is read once: a row committed after the bound was found must not slip in below it
     seen = tables.staged(shards.scan(rows, current), "tick-rows")
     plan = tables.staged(planned(seen, now_unix, lag), "tick", partition_by="leg")
     messages = plan.where(F.col("leg") == "main")
     letters = plan.where(F.col("leg") == "dlq").select("row.*", F.col("why").alias("reason"))
     tick = f"{version + 1:012d}"
-    tables.append_run(wire.encode(messages, topic), f"{out}/main", tick)
+    main = tables.append_run(wire.encode(messages, topic), f"{out}/main", tick)
     stamped = deadletters.producer_letters(letters).withColumn("produced_at", F.lit(now_unix).cast("bigint"))
-    tables.append_run(stamped, f"{out}/dlq", tick)
+    dlq = tables.append_run(stamped, f"{out}/dlq", tick)
     ends = stability.next_cursors(plan.select("row.shard_table", "row.id")).collect()  # one row per shard
     moved = {**current, **{s: max(end, current.get(s, 0)) for s, end in ends}}
     if moved == current:
         return current
-    return moved if cursors.commit(version, moved) else cursors.read()[1]
+    run = {"main": main.rsplit("/", 1)[1], "dlq": dlq.rsplit("/", 1)[1]}
+    state = _folded(rows.sparkSession, {**state, "cursors": moved, "runs": [*state["runs"], run]}, out)
+    return moved if cursors.commit(version, state) else progress(cursors)[1]["cursors"]
+
+
+def _folded(spark: SparkSession, state: dict, out: str) -> dict:
+    """The state with a long list of runs moved to a file of its own."""
+    if len(state["runs"]) <= RUNS_IN_POINTER:
+        return state
+    names = spark.createDataFrame([(r["main"], r["dlq"]) for r in state["runs"]], "main string, dlq string")
+    path = tables.append_run(names.coalesce(1), f"{out}/published", "runs")
+    return {**state, "runs": [], "folded": [*state["folded"], path]}
+
+
+def _published(spark: SparkSession, out: str, cursors: VersionedPointer, leg: str, ddl: str | None) -> DataFrame:
+    _, state = progress(cursors)
+    names = [r[leg] for r in state["runs"]]
+    if state["folded"]:
+        names += [r[0] for r in spark.read.parquet(*state["folded"]).select(leg).collect()]
+    paths = [f"{out}/{leg}/{n}" for n in names]
+    reader = spark.read.schema(ddl) if ddl else spark.read
+    return reader.parquet(*paths) if paths else spark.createDataFrame([], ddl or "reason string")
+
+
+def main_records(spark: SparkSession, out: str, cursors: VersionedPointer) -> DataFrame:
+    """Records of the ticks that count, each once."""
+    return _published(spark, out, cursors, "main", MAIN_DDL)
 
 
-def main_records(spark: SparkSession, out: str) -> DataFrame:
-    return tables.read_runs(spark, f"{out}/main", "topic string, key binary, value binary")
+def dead_records(spark: SparkSession, out: str, cursors: VersionedPointer) -> DataFrame:
+    """Letters of the ticks that count."""
+    return _published(spark, out, cursors, "dlq", None)

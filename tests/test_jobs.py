@@ -366,15 +366,15 @@ def test_tick_publishes_then_moves_the_cursor(spark, root):
     r = rows(spark, *SUITE, row("3000000000000000007", id=9, created_unix=1700009000), row("3000000000000000008", id=10))
     moved = incremental.run_tick(r, p, root, 1700009000, 600)
     assert moved == {"message": 3, "message1": 3}
-    main = {x["key"].decode()[-1]: json.loads(bytes(x["value"])) for x in incremental.main_records(spark, root).collect()}
+    main = {x["key"].decode()[-1]: json.loads(bytes(x["value"])) for x in incremental.main_records(spark, root, p).collect()}
     assert sorted(main) == list("1234")
     assert main["3"]["raw_excluded"] and "raw_payload" not in main["3"]
     assert main["4"]["raw_excluded"] and main["4"]["raw_payload"] == {"type": 2, "url": "u"}
-    dlq = {x["message_id"][-1]: x["reason"] for x in spark.read.parquet(f"{root}/dlq").collect()}
+    dlq = {x["message_id"][-1]: x["reason"] for x in incremental.dead_records(spark, root, p).collect()}
     assert dlq == {"5": C.PRODUCER_UNPARSEABLE, "6": C.PRODUCER_UNTRUSTED}
     # the held-back rows follow once the fresh one has aged
     assert incremental.run_tick(r, p, root, 1700009700, 600) == {"message": 10, "message1": 3}
-    assert incremental.main_records(spark, root).count() == 6
+    assert incremental.main_records(spark, root, p).count() == 6
 
 
 def test_failed_publish_leaves_the_cursor(spark, root, monkeypatch):
@@ -392,13 +392,34 @@ def test_failed_publish_leaves_the_cursor(spark, root, monkeypatch):
     assert p.read() == (0, {})
     monkeypatch.undo()
     incremental.run_tick(rows(spark, *SUITE), p, root, 1700009000, 600)
-    # the records of the failed tick are published twice, under the same keys
-    assert incremental.main_records(spark, root).select("key").distinct().count() == 4
-    assert p.read()[1] == {"message": 3, "message1": 3}
+    # the records of the failed tick are there twice, and seen once
+    assert incremental.main_records(spark, root, p).count() == 4 < spark.read.parquet(f"{root}/main").count()
+    assert p.read()[1]["cursors"] == {"message": 3, "message1": 3}
     with pytest.raises(gates.GateError):
         incremental.run_tick(rows(spark, *SUITE), p, root, 1700009000, 0)
 
 
+def test_of_racing_ticks_each_record_is_seen_once(spark, root, monkeypatch):
+    monkeypatch.setattr(incremental, "RUNS_IN_POINTER", 1)
+    p, commit, others = VersionedPointer(spark, f"{root}/cursors"), VersionedPointer.commit, [True]
+
+    def late(self, expected, value):
+        if others:
+            others.clear()  # another tick over more rows is faster
+            assert incremental.run_tick(rows(spark, *SUITE, row("3000000000000000008", id=10)), p, root, 1700009000, 600) == {"message": 10, "message1": 3}
+        return commit(self, expected, value)
+
+    monkeypatch.setattr(VersionedPointer, "commit", late)
+    assert incremental.run_tick(rows(spark, *SUITE), p, root, 1700009000, 600) == {"message": 10, "message1": 3}
+    seen = lambda: sorted(x["key"].decode()[-1] for x in incremental.main_records(spark, root, p).collect())
+    assert seen() == list("12348") and incremental.dead_records(spark, root, p).count() == 2
+    # long lists of runs move to files of their own
+    for i in (11, 12, 13):
+        incremental.run_tick(rows(spark, row(f"300000000000000000{i - 4}"[-19:], id=i)), p, root, 1700009000, 600)
+    state = p.read()[1]
+    assert len(state["folded"]) == 2 and len(state["runs"]) == 0 and len(seen()) == 8
+
+
 def test_load_reconcile_and_cutover(spark, root):
     source = rows(spark, *SUITE)
     target = historical.LoadTarget.below(spark, root)
@@ -611,6 +632,22 @@ def test_a_search_opens_the_folders_of_its_words(spark, root):
     assert "PushedFilters: [In(token" in index.postings("word3 word8")._jdf.queryExecution().toString()
 
 
+def test_stored_files_are_read_up_to_their_limit(spark, root):
+    os.makedirs(f"{root}/mirror/docs")
+    for name, body in (("docs/a%20b.txt", b"text"), ("docs/large.txt", b"x" * (21 << 20)), ("docs/none.txt", b"\n")):
+        with open(f"{root}/mirror/{name}", "wb") as file:
+            file.write(body)
+    bodies = streams.stored_files(spark, f"{root}/mirror", address=streams.address_below(f"{root}/mirror", "https://h"))
+    found = {r["url"]: r["n"] for r in bodies.select("url", F.octet_length("body").alias("n")).collect()}
+    assert found == {"https://h/docs/a b.txt": 4, "https://h/docs/large.txt": None, "https://h/docs/none.txt": 1}
+    # the limit is the source's: neither leg opens the content of a large file
+    plan = bodies._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(length" in plan and "ReadSchema: struct<path:string,length:bigint>" in plan
+    wanted = spark.createDataFrame([(str(i), u, None, "txt", None) for i, u in enumerate(sorted(found))], "message_id string, url string, name string, extension string, size bigint")
+    out = {r["url"]: r["outcome"] for r in files.extract_files(tables.staged(wanted, "wanted"), bodies, ["h"]).collect()}
+    assert out == {"https://h/docs/a b.txt": "ok", "https://h/docs/large.txt": "oversize", "https://h/docs/none.txt": "empty_extract"}
+
+
 def test_stored_files_are_checked_and_cleaned(spark, root):
     store = DocumentStore(spark, f"{root}/docs", slot_width=100)
     store.upsert(_doc(spark, 5))
@@ -810,7 +847,7 @@ def test_a_tick_reads_its_source_once(spark, root):
     source = spark.range(1, numPartitions=1).mapInPandas(live, C.ddl(C.ROW_FIELDS))
     p = VersionedPointer(spark, f"{root}/cursors")
     assert incremental.run_tick(source, p, root, 1700010000, 600) == {"message": 3}
-    assert {x["key"].decode() for x in incremental.main_records(spark, root).collect()} == {"1", "3"}
+    assert {x["key"].decode() for x in incremental.main_records(spark, root, p).collect()} == {"1", "3"}
     with open(f"{root}/reads") as log:
         assert log.read() == "x"
 
