@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from searchloom import contract as C
-from searchloom.operators import deadletters, documents, enrich, limits, upsert
+from searchloom.operators import deadletters, documents, enrich, limits, metrics, upsert
 from searchloom.sinks import tables
 from searchloom.sinks.docstore import ConcurrentWrite, DocumentStore
 from searchloom.sinks.pointer import VersionedPointer
@@ -60,9 +60,12 @@ def judged_rows(rows: DataFrame, max_doc_bytes: int = C.MAX_DOC_BYTES) -> DataFr
     )
 
 
-def run(rows: DataFrame, target: LoadTarget) -> DataFrame:
+def run(rows: DataFrame, target: LoadTarget, counters: Observation | None = None) -> DataFrame:
     """Load the rows above the cursors; returns the judged rows of this run.
 
+    ``counters`` is filled while the rows are written: ``items``, ``ok``, ``raw_excluded`` of
+    these, and each reason of a dead letter.
+
     Order: dead letters, documents, cursors. A run that dies in between is repeated from
     the old cursors, finds its letters stored and writes the same documents again.
     """
@@ -74,7 +77,9 @@ def run(rows: DataFrame, target: LoadTarget) -> DataFrame:
         .withColumn("leg", F.when(dead, F.lit("dlq")).otherwise(F.lit("docs")))
         .withColumn("payload", F.when(dead, F.col("payload")))  # documents hold theirs
     )
-    staged = tables.staged(judged, "load", partition_by="leg")
+    by = metrics.reasons("reason", [C.LOAD_PARSE, C.LOAD_CONVERT, C.LOAD_REJECT])
+    by["raw_excluded"] = F.col("reason").isNull() & (F.col("outcome") == enrich.ROUTE_RAW)
+    staged = tables.staged(metrics.observed(judged, counters, by), "load", partition_by="leg")
     letters = deadletters.load_letters(staged.where(F.col("leg") == "dlq"))
     stored = tables.read_runs(spark, target.dlq_root, LETTER_DDL)
     tables.append_run(

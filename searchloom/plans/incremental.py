@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from searchloom import contract as C
-from searchloom.operators import deadletters, enrich, gates, limits, stability, wire
+from searchloom.operators import deadletters, enrich, gates, limits, metrics, stability, wire
 from searchloom.sinks import tables
 from searchloom.sinks.pointer import VersionedPointer
 from searchloom.sources import shards
@@ -44,20 +44,21 @@ def progress(cursors: VersionedPointer) -> tuple[int, dict]:
 
 
 def run_tick(
-    rows: DataFrame, cursors: VersionedPointer, out: str, now_unix: int, lag: int, topic: str = "messages"
+    rows: DataFrame, cursors: VersionedPointer, out: str, now_unix: int, lag: int, topic: str = "messages", counters: Observation | None = None
 ) -> dict[str, int]:
     """Publish the stable rows above the cursors, then move the cursors to the prefix end.
 
     Main records first, then dead letters, then one compare-and-set that moves the cursors and
     names what this tick has written. Readers take named runs only, so a tick that fails or
     loses the race leaves files behind that nobody sees, and each record is seen once. Returns
-    the cursors now valid.
+    the cursors now valid. ``counters`` is filled on the way: ``items``, ``ok`` (main) and each reason.
     """
     version, state = progress(cursors)
     current = state["cursors"]
     # the source is read once: a row committed after the bound was found must not slip in below it
     seen = tables.staged(shards.scan(rows, current), "tick-rows")
-    plan = tables.staged(planned(seen, now_unix, lag), "tick", partition_by="leg")
+    by = metrics.reasons("why", [C.PRODUCER_UNPARSEABLE, C.PRODUCER_UNTRUSTED, C.PRODUCER_OVERSIZE])
+    plan = tables.staged(metrics.observed(planned(seen, now_unix, lag), counters, by), "tick", partition_by="leg")
     messages = plan.where(F.col("leg") == "main")
     letters = plan.where(F.col("leg") == "dlq").select("row.*", F.col("why").alias("reason"))
     tick = f"{version + 1:012d}"

@@ -5,10 +5,11 @@ import json
 import os
 import random
 import tempfile
+from collections import Counter
 
 import pandas as pd
 import pytest
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from searchloom import contract as C
@@ -297,7 +298,6 @@ def test_first_failing_check_decides(spark):
 
 
 def test_word_counts_match_a_counter(spark):
-    from collections import Counter
 
     m = messages(spark, message(message_id="1", raw_payload=json.dumps({"type": 1, "content": "The the cat. 会议室 cat-THE 9"})))
     got = {(r["token"], r["tf"]) for r in search.inverted_index(documents.from_contract(m)).collect()}
@@ -420,6 +420,22 @@ def test_of_racing_ticks_each_record_is_seen_once(spark, root, monkeypatch):
     assert len(state["folded"]) == 2 and len(state["runs"]) == 0 and len(seen()) == 8
 
 
+def test_jobs_count_while_they_write(spark, root):
+    p, tick, load = VersionedPointer(spark, f"{root}/cursors"), Observation(), Observation()
+    incremental.run_tick(rows(spark, *SUITE), p, root, 1700009000, 600, counters=tick)
+    assert tick.get == {"items": 6, "ok": 4, C.PRODUCER_UNPARSEABLE: 1, C.PRODUCER_UNTRUSTED: 1, C.PRODUCER_OVERSIZE: 0}
+    target = historical.LoadTarget.below(spark, f"{root}/load")
+    historical.run(rows(spark, *SUITE), target, load)
+    letters = Counter(r["reason"] for r in historical.letters(spark, target).collect())
+    assert load.get == {"items": 6, "ok": 4, "raw_excluded": 3, **{r: letters[r] for r in (C.LOAD_PARSE, C.LOAD_CONVERT, C.LOAD_REJECT)}}
+    records = wire.encode(messages(spark, message(message_id="1", raw_payload='{"type":4}'), message(message_id="x"), message(message_id="2", schema_version=1)), "t")
+    records.selectExpr("topic", "0 AS partition", "0L AS offset", "key", "value").write.parquet(f"{root}/stream")
+    seen = []
+    store = DocumentStore(spark, f"{root}/docs")
+    indexing.start(streams.file_stream(spark, f"{root}/stream"), store, f"{root}/letters", f"{root}/cp", report=lambda n, counts: seen.append((n, counts))).awaitTermination()
+    assert seen == [(0, {"items": 3, "ok": 1, C.INDEXER_SCHEMA: 1, C.INDEXER_UNTRUSTED: 0, C.INDEXER_PERMANENT: 1})]
+
+
 def test_load_reconcile_and_cutover(spark, root):
     source = rows(spark, *SUITE)
     target = historical.LoadTarget.below(spark, root)
