@@ -11,6 +11,7 @@ from searchloom import contract as C
 from searchloom.operators import deadletters, documents, enrich, limits, metrics, upsert
 from searchloom.sinks import tables
 from searchloom.sinks.docstore import ConcurrentWrite, DocumentStore
+from searchloom.sinks.letters import LetterStore
 from searchloom.sinks.pointer import VersionedPointer
 from searchloom.sources import shards
 
@@ -81,12 +82,7 @@ def run(rows: DataFrame, target: LoadTarget, counters: Observation | None = None
     by["raw_excluded"] = F.col("reason").isNull() & (F.col("outcome") == enrich.ROUTE_RAW)
     staged = tables.staged(metrics.observed(judged, counters, by), "load", partition_by="leg")
     letters = deadletters.load_letters(staged.where(F.col("leg") == "dlq"))
-    stored = tables.read_runs(spark, target.dlq_root, LETTER_DDL)
-    tables.append_run(
-        deadletters.new_letters(letters, stored).select(*[c.strip().split()[0].strip("`") for c in LETTER_DDL.split(",")]),
-        target.dlq_root,
-        f"{version + 1:012d}",
-    )
+    LetterStore(spark, target.dlq_root, LETTER_DDL).append(letters, f"{version + 1:012d}")
     good = staged.where(F.col("leg") == "docs")
     docs = good.select("shard_table", "id", F.inline("docs"))
     target.store.upsert(upsert.newest_documents(docs, ["shard_table", "id"]))
@@ -97,4 +93,4 @@ def run(rows: DataFrame, target: LoadTarget, counters: Observation | None = None
 
 
 def letters(spark: SparkSession, target: LoadTarget) -> DataFrame:
-    return tables.read_runs(spark, target.dlq_root, LETTER_DDL)
+    return LetterStore(spark, target.dlq_root, LETTER_DDL).read()

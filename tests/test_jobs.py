@@ -17,6 +17,7 @@ from searchloom.functions import netx, textx
 from searchloom.operators import deadletters, delivery, documents, enrich, files, gates, limits, recon, search, stability, upsert, wire
 from searchloom.plans import cutover, file_backfill, historical, incremental, reconcile
 from searchloom.sinks import docstore, pointer, tables
+from searchloom.sinks import letters as letters_
 from searchloom.sinks.docstore import ConcurrentWrite, DocumentStore
 from searchloom.sinks.pointer import UnreadablePointer, VersionedPointer
 from searchloom.sinks.searchindex import SearchIndex
@@ -436,6 +437,25 @@ def test_jobs_count_while_they_write(spark, root):
     assert seen == [(0, {"items": 3, "ok": 1, C.INDEXER_SCHEMA: 1, C.INDEXER_UNTRUSTED: 0, C.INDEXER_PERMANENT: 1})]
 
 
+def test_letters_are_looked_up_in_their_folders(spark, root, monkeypatch):
+    ddl = "dedup_key string, reason string, `table` string, id bigint, message_id string, payload binary, created_at bigint"
+    store = letters_.LetterStore(spark, f"{root}/dlq", ddl, buckets=8)
+    rows_ = lambda *ids: spark.createDataFrame([("r", "t", i, str(i) if i % 5 else "", b"p", i) for i in ids], "reason string, `table` string, id bigint, message_id string, payload binary, created_at bigint")
+    store.append(rows_(*range(1, 40)), "a")
+    for scanned in (1000, 0):
+        monkeypatch.setattr(letters_, "SCANNED_KEYS", scanned)
+        store.append(rows_(3, 40 + (scanned > 0), 5, 3), "b")  # repeats, a new key, and one without an id
+        keys = rows_(7).select(F.lit("7").alias("dedup_key")).withColumn("bucket", store._bucket())
+        found = store.stored_keys(keys)
+        assert {r.dedup_key for r in found.collect()} >= {"7"}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(bucket" in plan and ("EqualTo(dedup_key,7)" in plan) == (scanned > 0)
+    got = sorted(r.dedup_key for r in store.read().collect())
+    assert got == sorted([str(i) if i % 5 else f"t:{i}" for i in range(1, 40)] + ["41", "t:40"])
+    store.append(rows_(), "c")
+    assert store.read().count() == 41
+
+
 def test_load_reconcile_and_cutover(spark, root):
     source = rows(spark, *SUITE)
     target = historical.LoadTarget.below(spark, root)
