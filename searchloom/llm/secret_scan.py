@@ -202,9 +202,9 @@ def thresholds(scan: DataFrame, level: float = FALSE_DISCOVERIES) -> DataFrame:
     return steps.where(passing & (F.col("bin") > 0)).groupBy("stratum").agg(F.min("bin").alias("least"))
 
 
-def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: float = FALSE_DISCOVERIES) -> DataFrame:
-    """Per row: id and ``found``, the sorted spans (start, rank, kind, end) of patterns and battery."""
-    stored = staged(scanned(documents, [id_col], text_col), "secret-scan")
+def _spans(documents: DataFrame, keep: list[str], text_col: str, level: float = FALSE_DISCOVERIES) -> DataFrame:
+    """(kept, base, found) for each row: the named columns as one struct, spans of the patterns, all spans."""
+    stored = staged(scanned(documents, keep, text_col), "secret-scan")
     # one row per encoding and length stratum
     limits = {r["stratum"]: r["least"] for r in thresholds(stored, level).collect()}
 
@@ -216,7 +216,12 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     covered = lambda c: F.exists("base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"]))
     more = F.transform(F.filter("candidates", lambda c: enough(c) & ~covered(c)), _ranked("random"))
-    return stored.select(F.col("kept")[id_col].alias(id_col), "base", F.array_sort(F.concat("base", more)).alias("found"))
+    return stored.select("kept", "base", F.array_sort(F.concat("base", more)).alias("found"))
+
+
+def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: float = FALSE_DISCOVERIES) -> DataFrame:
+    """Per row: id and ``found``, the sorted spans (start, rank, kind, end) of patterns and battery."""
+    return _spans(documents, [id_col], text_col, level).select(F.col("kept").getField(id_col).alias(id_col), "base", "found")
 
 
 def _listed(spans: str) -> Column:
@@ -230,17 +235,18 @@ def report(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return found.select(id_col, *counts, hex_digest(_listed("base")).alias("base_sha256"), _listed("found").alias("spans"))
 
 
-def redacted(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]") -> DataFrame:
-    """The documents with every span replaced by ``mark``; rows need distinct ids."""
-    spans = scan(documents, id_col, text_col).select(F.col(id_col).alias("_id"), "found")
+def redacted(documents: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
+    """The documents with every span replaced by ``mark``. Each row carries its own spans, so ids may repeat or be missing."""
+    names = documents.columns
+    whole_text = F.col("kept").getField(text_col)
     zero = F.struct(F.lit(0).cast("bigint").alias("end"), F.lit("").alias("text"))
 
     def add(state, s):
-        gap = F.substring(F.col(text_col), (state["end"] + 1).cast("int"), F.greatest(s["start"] - state["end"], F.lit(0)).cast("int"))
+        gap = F.substring(whole_text, (state["end"] + 1).cast("int"), F.greatest(s["start"] - state["end"], F.lit(0)).cast("int"))
         text = F.when(s["end"] <= state["end"], state["text"]).otherwise(F.concat(state["text"], gap, F.lit(mark)))
         return F.struct(F.greatest(s["end"], state["end"]).alias("end"), text.alias("text"))
 
-    rest = lambda s: F.concat(s["text"], F.substring(F.col(text_col), (s["end"] + 1).cast("int"), F.length(text_col)))
-    text = F.when(F.size("found") > 0, F.aggregate("found", zero, add, rest)).otherwise(F.col(text_col))
-    joined = documents.join(spans, documents[id_col] == F.col("_id"), "left")
-    return joined.select(*[(text.alias(c) if c == text_col else F.col(c)) for c in documents.columns])
+    rest = lambda s: F.concat(s["text"], F.substring(whole_text, (s["end"] + 1).cast("int"), F.length(whole_text)))
+    text = F.when(F.size("found") > 0, F.aggregate("found", zero, add, rest)).otherwise(whole_text)
+    found = _spans(documents, names, text_col)
+    return found.select(*[(text if c == text_col else F.col("kept").getField(c)).alias(c) for c in names])
