@@ -31,8 +31,8 @@ from searchloom.sinks import tables
 from searchloom.sinks.docstore import DocumentStore
 from searchloom.sinks.pointer import VersionedPointer
 from searchloom.sinks.searchindex import SearchIndex
-from searchloom.sources import driver_tables, shards, streams
-from searchloom.streaming import extraction, indexing
+from searchloom.sources import driver_tables, shards, shardstream, streams
+from searchloom.streaming import extraction, indexing, producing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -639,6 +639,29 @@ def _(spark, sf):
     return spots.join(main, "shard_table", "left").join(dead, "shard_table", "left").select("shard_table", "cursor", "main", "dlq")
 
 
+@query(
+    "incremental_stream",
+    _STABLE + """SELECT shard_table, max(id) AS cursor, count(*) FILTER (WHERE outcome <> 'dlq') AS main, count(*) FILTER (WHERE outcome = 'dlq') AS dlq FROM st GROUP BY 1""",
+)
+def _(spark, sf):
+    """The shards as a stream: a first run up to an earlier frontier, then one that goes on from its checkpoint."""
+    out = new_work_dir(spark, "shard-stream")
+    pointer, frontier = VersionedPointer(spark, f"{out}/cursors"), VersionedPointer(spark, f"{out}/frontier")
+    source = lambda: rows_of(spark, sf)
+    for now in (NOW - 10 * O.LAG, NOW):
+        shardstream.publish(source(), frontier, now, O.LAG)
+        producing.start(source, f"{out}/frontier", pointer, out, f"{out}/progress", lambda: NOW).awaitTermination()
+    moved = incremental.progress(pointer)[1]["cursors"]
+    spots = spark.createDataFrame(list(moved.items()), "shard_table string, cursor bigint")
+    ids = source().select("shard_table", "message_id", "created_unix")
+    written = incremental.main_records(spark, out, pointer).select(
+        F.col("key").cast("string").alias("message_id"), F.get_json_object(F.col("value").cast("string"), "$.created_at").cast("bigint").alias("created_unix")
+    )
+    main = written.join(ids, ["message_id", "created_unix"]).groupBy("shard_table").agg(F.count(F.lit(1)).alias("main"))
+    dead = incremental.dead_records(spark, out, pointer).groupBy("shard_table").agg(F.count(F.lit(1)).alias("dlq"))
+    return spots.join(main, "shard_table", "left").join(dead, "shard_table", "left").select("shard_table", "cursor", "main", "dlq")
+
+
 @query("produced_by_stream", _STABLE + "SELECT CASE WHEN outcome = 'dlq' THEN 'dlq' ELSE 'main' END AS leg, count(*) AS items FROM st GROUP BY ALL")
 def _(spark, sf):
     return metrics.count_by(incremental.planned(rows_of(spark, sf), NOW, O.LAG), "leg")

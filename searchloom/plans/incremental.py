@@ -17,7 +17,11 @@ ROW_KEEP = ["shard_table", "id", "message_id", "channel_id", "channel_type", "pa
 def planned(rows: DataFrame, now_unix: int, lag: int, limit: int = C.MAX_MESSAGE_BYTES) -> DataFrame:
     """Stable rows with their message and leg (main or dlq). ``rows`` is read twice: of a live source, give a written scan."""
     gates.require_lag(lag)
-    stable = stability.stable_prefix(rows, now_unix - lag)
+    return judged(stability.stable_prefix(rows, now_unix - lag), limit)
+
+
+def judged(stable: DataFrame, limit: int = C.MAX_MESSAGE_BYTES) -> DataFrame:
+    """Rows with their message and leg (main or dlq)."""
     routed = enrich.with_route(stable)
     parts = routed.select(
         F.struct(*ROW_KEEP).alias("row"), "outcome", F.col("reason").alias("why"), F.struct(*enrich.message_columns()).alias("m")
@@ -57,21 +61,52 @@ def run_tick(
     current = state["cursors"]
     # the source is read once: a row committed after the bound was found must not slip in below it
     seen = tables.staged(shards.scan(rows, current), "tick-rows")
+    plan = _counted(planned(seen, now_unix, lag), counters)
+    ends = stability.next_cursors(plan.select("row.shard_table", "row.id")).collect()  # one row per shard
+    moved = {**current, **{s: max(end, current.get(s, 0)) for s, end in ends}}
+    published = _publish(plan, version, state, moved, cursors, out, topic, now_unix)
+    return moved if published else progress(cursors)[1]["cursors"]
+
+
+def run_range(
+    rows: DataFrame, upto: dict[str, int], cursors: VersionedPointer, out: str, now_unix: int, topic: str = "messages", counters: Observation | None = None
+) -> bool:
+    """Publish the rows above the cursors up to given ids, which must be stable; false if the cursors were there already.
+
+    Raises if other jobs moved the cursors meanwhile: the same call again takes what is left.
+    """
+    version, state = progress(cursors)
+    current = state["cursors"]
+    ahead = {s: end for s, end in upto.items() if end > current.get(s, 0)}
+    if not ahead:
+        return False
+    plan = _counted(judged(shards.scan_between(rows, current, ahead)), counters)
+    if not _publish(plan, version, state, {**current, **ahead}, cursors, out, topic, now_unix):
+        raise LostRace(f"another job publishes below {out}")
+    return True
+
+
+class LostRace(RuntimeError):
+    """Another job moved the cursors first."""
+
+
+def _counted(plan: DataFrame, counters: Observation | None) -> DataFrame:
+    """The plan written by leg, its outcomes counted on the way."""
     by = metrics.reasons("why", [C.PRODUCER_UNPARSEABLE, C.PRODUCER_UNTRUSTED, C.PRODUCER_OVERSIZE])
-    plan = tables.staged(metrics.observed(planned(seen, now_unix, lag), counters, by), "tick", partition_by="leg")
-    messages = plan.where(F.col("leg") == "main")
+    return tables.staged(metrics.observed(plan, counters, by), "tick", partition_by="leg")
+
+
+def _publish(plan: DataFrame, version: int, state: dict, moved: dict[str, int], cursors: VersionedPointer, out: str, topic: str, now_unix: int) -> bool:
+    """Write both legs, then name them and move the cursors at once; true if that holds now."""
+    if moved == state["cursors"]:
+        return True
     letters = plan.where(F.col("leg") == "dlq").select("row.*", F.col("why").alias("reason"))
     tick = f"{version + 1:012d}"
-    main = tables.append_run(wire.encode(messages, topic), f"{out}/main", tick)
+    main = tables.append_run(wire.encode(plan.where(F.col("leg") == "main"), topic), f"{out}/main", tick)
     stamped = deadletters.producer_letters(letters).withColumn("produced_at", F.lit(now_unix).cast("bigint"))
     dlq = tables.append_run(stamped, f"{out}/dlq", tick)
-    ends = stability.next_cursors(plan.select("row.shard_table", "row.id")).collect()  # one row per shard
-    moved = {**current, **{s: max(end, current.get(s, 0)) for s, end in ends}}
-    if moved == current:
-        return current
     run = {"main": main.rsplit("/", 1)[1], "dlq": dlq.rsplit("/", 1)[1]}
-    state = _folded(rows.sparkSession, {**state, "cursors": moved, "runs": [*state["runs"], run]}, out)
-    return moved if cursors.commit(version, state) else progress(cursors)[1]["cursors"]
+    return cursors.commit(version, _folded(plan.sparkSession, {**state, "cursors": moved, "runs": [*state["runs"], run]}, out))
 
 
 def _folded(spark: SparkSession, state: dict, out: str) -> dict:

@@ -47,3 +47,10 @@ def above_cursors(cursors: dict[str, int]) -> Column:
 def scan(rows: DataFrame, cursors: dict[str, int]) -> DataFrame:
     """The fixed columns of all rows above their cursor."""
     return rows.where(above_cursors(cursors)).select(*[n for n, _ in C.ROW_FIELDS])
+
+
+def scan_between(rows: DataFrame, cursors: dict[str, int], upto: dict[str, int]) -> DataFrame:
+    """The fixed columns of the rows above their cursor and not above ``upto``; of the shards in ``upto`` only."""
+    shard, id_ = F.col("shard_table"), F.col("id")
+    ranges = [(shard == s) & (id_ > cursors.get(s, 0)) & (id_ <= end) for s, end in sorted(upto.items())]
+    return rows.where(reduce(lambda a, b: a | b, ranges, F.lit(False))).select(*[n for n, _ in C.ROW_FIELDS])
