@@ -32,7 +32,7 @@ from searchloom.sinks.docstore import DocumentStore
 from searchloom.sinks.pointer import VersionedPointer
 from searchloom.sinks.searchindex import SearchIndex
 from searchloom.sources import driver_tables, shards, shardstream, streams
-from searchloom.streaming import extraction, indexing, producing
+from searchloom.streaming import extraction, indexing, producing, retries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1193,7 +1193,21 @@ _STREAM_RESULT = _FILE_RESULT.replace(
 )
 
 
-@query("file_stream", _STREAM_RESULT + f""" UNION ALL SELECT shard_table, '{C.FILE_PARSE}', NULL FROM (SELECT DISTINCT shard_table FROM src)""")
+def file_results(store, leg):
+    """Outcome of every file message, and the records that were none."""
+    dead = leg.letters().select(F.col("messageId").alias("doc_id"), "reason")
+    docs = store.read().where("payload.type = 8").select(F.col("_id").alias("doc_id"), F.col("payload.file.content").isNotNull().alias("has_content"))
+    # neither text nor letter: the format waits for a plug-in
+    open_ = F.when(F.col("has_content"), F.lit("ok")).otherwise(F.lit(files.NO_EXTRACTOR))
+    rows = docs.join(dead, "doc_id", "left").select("doc_id", F.coalesce("reason", open_).alias("outcome"), "has_content")
+    junk = dead.where(F.col("reason") == C.FILE_PARSE).select("doc_id", F.col("reason").alias("outcome"), F.lit(None).cast("boolean").alias("has_content"))
+    return rows.unionByName(junk)
+
+
+_STREAM_LETTERS = _STREAM_RESULT + f""" UNION ALL SELECT shard_table, '{C.FILE_PARSE}', NULL FROM (SELECT DISTINCT shard_table FROM src)"""
+
+
+@query("file_stream", _STREAM_LETTERS)
 def _(spark, sf):
     """The index leg first, then the file leg over the same stream."""
     root = new_work_dir(spark, "file-stream")
@@ -1202,13 +1216,25 @@ def _(spark, sf):
     indexing.start(streams.file_stream(spark, folder), store, f"{root}/dlq", f"{root}/progress").awaitTermination()
     leg = extraction.FileLeg(store, driver_tables.file_bytes(spark, sf), O.HOSTS, f"{root}/files")
     extraction.start(streams.file_stream(spark, folder, max_files=4), leg, f"{root}/file-progress", lambda: NOW).awaitTermination()
-    dead = leg.letters().select(F.col("messageId").alias("doc_id"), "reason")
-    docs = store.read().where("payload.type = 8").select(F.col("_id").alias("doc_id"), F.col("payload.file.content").isNotNull().alias("has_content"))
-    # neither text nor letter: the format waits for a plug-in
-    open_ = F.when(F.col("has_content"), F.lit("ok")).otherwise(F.lit(files.NO_EXTRACTOR))
-    rows = docs.join(dead, "doc_id", "left").select("doc_id", F.coalesce("reason", open_).alias("outcome"), "has_content")
-    junk = dead.where(F.col("reason") == C.FILE_PARSE).select("doc_id", F.col("reason").alias("outcome"), F.lit(None).cast("boolean").alias("has_content"))
-    return rows.unionByName(junk)
+    return file_results(store, leg)
+
+
+@query("file_retries", _STREAM_LETTERS)
+def _(spark, sf):
+    """The file leg starts before there is any document, is stopped, and goes on from its checkpoint when there are."""
+    root = new_work_dir(spark, "file-retries")
+    store = DocumentStore(spark, f"{root}/docs", **SLOTS)
+    folder = stream_folder(spark, sf, root)
+    leg = extraction.FileLeg(store, driver_tables.file_bytes(spark, sf), O.HOSTS, f"{root}/files")
+    go = lambda: retries.start(streams.file_stream(spark, folder, max_files=4), leg, f"{root}/file-progress", base=2.0, cap=10.0, now_unix=lambda: NOW)
+    early = go()
+    while not early.recentProgress and not early.awaitTermination(1):
+        pass
+    early.stop()
+    indexing.start(streams.file_stream(spark, folder), store, f"{root}/dlq", f"{root}/progress").awaitTermination()
+    if not retries.run_until_drained(go()):
+        raise TimeoutError("texts still wait")
+    return file_results(store, leg)
 
 
 @query("file_backfill", _FILE_RESULT)

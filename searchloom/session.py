@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # generated methods beyond the JIT limit of 8000 bytes would run interpreted
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # timers of waiting messages need it
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -1,0 +1,177 @@
+"""Waiting texts as keyed state with timers."""
+
+import tempfile
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from searchloom import contract as C
+from searchloom.operators import documents, wire
+from searchloom.sinks.docstore import DocumentStore
+from searchloom.sources import streams
+from searchloom.streaming import extraction, retries
+from tests.helpers import message, messages
+
+H = "https://h/"
+
+
+@pytest.fixture
+def root():
+    return tempfile.mkdtemp(prefix="searchloom-test-")
+
+
+class Setup:
+    def __init__(self, spark, root, **options):
+        self.spark, self.root = spark, root
+        self.store = DocumentStore(spark, f"{root}/docs")
+        names = ["old", "new", "a", "b"]
+        bodies = spark.createDataFrame([(f"{H}{n}.txt", bytearray(f"text {n}".encode())) for n in names], "url string, body binary")
+        self.leg = extraction.FileLeg(self.store, bodies, ["h"], f"{root}/files", **options)
+        self.send("zip", 0, ident="77", ext="zip")  # the folder is there
+
+    def message(self, name, ident, ext="txt"):
+        return messages(self.spark, message(message_id=ident, raw_payload=f'{{"type":8,"url":"{H}{name}.{ext}","name":"a.{ext}"}}'))
+
+    def send(self, name, offset, ident="1", ext="txt"):
+        record = wire.encode(self.message(name, ident, ext), "t").withColumn("partition", F.lit(0)).withColumn("offset", F.lit(offset).cast("bigint"))
+        record.select("topic", "partition", "offset", "key", "value").coalesce(1).write.mode("append").parquet(f"{self.root}/in")
+
+    def index(self, name, ident="1"):
+        self.store.upsert(documents.from_contract(self.message(name, ident)))
+
+    def start(self, **options):
+        return retries.start(streams.file_stream(self.spark, f"{self.root}/in"), self.leg, f"{self.root}/cp", **options)
+
+    def texts(self):
+        if not self.store.state().slots:
+            return {}
+        return {r["_id"]: r["payload"]["file"]["content"] for r in self.store.read().collect() if r["payload"]["file"]}
+
+    def letters(self):
+        return sorted((r["messageId"], r["reason"], r["offset"]) for r in self.leg.letters().collect())
+
+    def tries(self, ident="1"):
+        """Attempts counted so far, as written for the next one."""
+        files = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/files/open")
+        fs = files.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(files):
+            return []
+        rows = self.spark.read.schema(extraction.WORK_DDL).option("recursiveFileLookup", True).parquet(f"{self.root}/files/open")
+        return sorted(r["attempts"] for r in rows.where(F.col("message_id") == ident).collect())
+
+
+def until(query, done, seconds=90):
+    end = time.time() + seconds
+    while time.time() < end:
+        assert query.exception() is None, query.exception()
+        try:
+            if done():
+                return
+        except Exception as e:  # a file that the source has just cleaned up
+            if "FILE_NOT_EXIST" not in str(e) and "FAILED_READ_FILE" not in str(e):
+                raise
+        time.sleep(0.3)
+    raise AssertionError("not reached in time")
+
+
+def test_retries_run_without_input_and_survive_a_restart(spark, root):
+    s = Setup(spark, root)
+    s.send("a", 1)
+    query = s.start(base=0.5, cap=1.0)
+    try:
+        until(query, lambda: max(s.tries(), default=0) >= 2)  # a second attempt, with no further input
+    finally:
+        query.stop()
+    s.index("a")
+    assert s.texts() == {"1": None}
+    query = s.start(base=0.5, cap=1.0)  # nothing comes in: the state of the checkpoint alone brings the text
+    try:
+        until(query, lambda: s.texts() == {"1": "text a"})
+    finally:
+        query.stop()
+    assert s.letters() == [("77", "blacklist_ext", 0)]
+
+
+def test_the_newest_delivery_wins_and_attempts_end(spark, root):
+    s = Setup(spark, root, max_attempts=3)
+    s.send("old", 5)
+    s.send("b", 6, ident="9")
+    query = s.start(base=60.0, cap=60.0)
+    try:
+        until(query, lambda: s.tries() == [1] or s.tries("9") == [1])
+        s.index("new")
+        s.send("new", 8)  # the old one waits a minute, the new one is tried at once
+        until(query, lambda: s.texts() == {"1": "text new"})
+        s.send("old", 5)  # an older place comes again: with nothing waiting it is tried as what it is, a delivery
+    finally:
+        query.stop()
+    assert s.letters() == [("77", "blacklist_ext", 0)]
+
+
+def test_attempts_end_in_a_letter(spark, root):
+    s = Setup(spark, root, max_attempts=3)
+    s.send("b", 6, ident="9")
+    assert retries.run_until_drained(s.start(base=0.2, cap=0.2), 90)
+    assert s.letters() == [("77", "blacklist_ext", 0), ("9", C.FILE_RETRY, 6)]
+
+
+class Cell:
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class Handle:
+    def __init__(self):
+        self.timers, self.cell = [], Cell()
+
+    def getValueState(self, name, schema):
+        return self.cell
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def listTimers(self):
+        return iter(self.timers)
+
+
+class Clock:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
+def test_steps_of_the_state():
+    def item(offset, attempts):
+        return dict(zip(retries.WORK_COLUMNS, ["1", "u", "n", None, None, "t", 0, offset, b"k", b"v", attempts], strict=True))
+
+    handle, state = Handle(), retries.Retries(1.0, 60.0)
+    state.init(handle)
+    step = lambda now, *items: [(r["offset"], r["attempts"]) for r in state.handleInputRows(("1",), iter(items), Clock(now))]
+    assert step(0, item(3, 0), item(5, 0), item(4, 0)) == [(5, 0)] and handle.timers == []
+    assert step(1000, item(5, 1)) == [] and handle.timers == [2000]
+    assert step(1500, item(5, 0), item(4, 0)) == [] and handle.timers == [2000]  # the same place or an older one
+    assert step(1500, item(5, 3)) == [] and handle.timers == [5500]  # four seconds after the third attempt
+    assert step(1600, item(5, 10)) == [] and handle.timers == [61600]  # at most a minute
+    assert step(1700, item(6, 0)) == [(6, 0)] and handle.timers == [] and not handle.cell.exists()
+    assert step(1800, item(6, 1), item(7, 0)) == [(7, 0)] and handle.timers == []  # both in one batch
+    assert step(2000, item(7, 1)) == []
+    assert [(r["offset"], r["attempts"]) for r in state.handleExpiredTimer(("1",), Clock(3000), None)] == [(7, 1)]
+    assert not handle.cell.exists() and list(state.handleExpiredTimer(("1",), Clock(3000), None)) == []
