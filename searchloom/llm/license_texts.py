@@ -55,3 +55,60 @@ not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.
 publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
 purpose, commercial or non-commercial, and by any means.""",
 }
+
+# -- built from the texts above
+
+_BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+"""
+_GNU = TEMPLATES["gpl-3.0-header"]
+TEMPLATES |= {
+    "bsd-3-clause": TEMPLATES["bsd-2-clause"].replace("THIS SOFTWARE IS", _BSD_NAMES + "THIS SOFTWARE IS", 1),
+    "agpl-3.0-header": _GNU.replace("GNU General", "GNU Affero General"),
+    "gpl-2.0-header": _GNU.replace("version 3", "version 2"),
+    "lgpl-2.1-header": _GNU.replace("GNU General", "GNU Lesser General").replace("program", "library").replace("version 3", "version 2.1"),
+    "lgpl-3.0-header": _GNU.replace("GNU General", "GNU Lesser General"),
+}
+
+#: fixed values: identifiers of public licences and what notices call them
+CALLED = {
+    "agpl-3.0": ["GNU Affero General Public License v3.0", "GNU Affero General Public License, version 3", "GNU AGPL v3", "AGPLv3"],
+    "apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0"],
+    "bsd": ["BSD License"],
+    "bsd-2-clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "BSD-2-Clause"],
+    "bsd-3-clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "BSD-3-Clause"],
+    "bsl-1.0": ["Boost Software License, Version 1.0", "BSL-1.0"],
+    "cc-by-3.0": ["Creative Commons Attribution 3.0 Unported License", "CC BY 3.0"],
+    "cc-by-4.0": ["Creative Commons Attribution 4.0 International License", "CC BY 4.0"],
+    "cc-by-nc-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International License", "CC BY-NC 4.0"],
+    "cc-by-nc-nd-4.0": ["Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License", "CC BY-NC-ND 4.0"],
+    "cc-by-nc-sa-4.0": ["Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", "CC BY-NC-SA 4.0"],
+    "cc-by-nd-4.0": ["Creative Commons Attribution-NoDerivatives 4.0 International License", "CC BY-ND 4.0"],
+    "cc-by-sa-3.0": ["Creative Commons Attribution-ShareAlike 3.0 Unported License", "CC BY-SA 3.0"],
+    "cc-by-sa-4.0": ["Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0"],
+    "cc0-1.0": ["CC0 1.0 Universal", "CC0 1.0"],
+    "epl-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0", "EPL-2.0"],
+    "gpl": ["GNU General Public License", "GPL"],
+    "gpl-2.0": ["GNU General Public License v2.0", "GNU General Public License, version 2", "GPLv2", "GPL-2.0"],
+    "gpl-3.0": ["GNU General Public License v3.0", "GNU General Public License, version 3", "GPLv3", "GPL-3.0"],
+    "isc": ["ISC License"],
+    "lgpl-2.1": ["GNU Lesser General Public License v2.1", "GNU Lesser General Public License, version 2.1", "LGPLv2.1", "LGPL 2.1", "LGPL-2.1"],
+    "lgpl-3.0": ["GNU Lesser General Public License v3.0", "GNU Lesser General Public License, version 3", "LGPLv3", "LGPL-3.0"],
+    "mit": ["MIT License", "MIT"],
+    "mpl-2.0": ["Mozilla Public License, v. 2.0", "Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "MPL-2.0"],
+    "unlicense": ["Unlicense"],
+    "zlib": ["zlib License"],
+}
+#: fixed values: how notices name a licence; what stands before these words is no part of a notice
+FORMS = ["licensed under {}", "licensed under the {}", "licensed under a {}", "released under the {}", "distributed under the {}", "available under the {}", "under the terms of the {}"]
+
+
+def notices() -> list[tuple[str, str]]:
+    """(identifier, text) of the short notices: every form with every name, and the tag of the identifier itself."""
+    spoken = [(key, form.format(name)) for key, names in CALLED.items() for name in names for form in FORMS]
+    tags = [(key, f"SPDX-License-Identifier: {key}{end}") for key in CALLED for end in (["", "-only", "-or-later"] if "gpl-" in key else [""])]
+    return spoken + tags
+
+
+def all_templates() -> list[tuple[str, str]]:
+    return [*TEMPLATES.items(), *notices()]

@@ -7,7 +7,10 @@ and ends with a bigram of the template scores no less than one with more around
 are scored, and only where the longest window from a place shares enough bigrams. Of matches with
 words in common the one stays that has most shared bigrams less those of one side only.
 
-Texts are read in Python within their partition; templates are a few constants.
+Texts are read in Python within their partition. Templates are (name, text) pairs, several of one name being variants;
+they come from ``license_texts`` or from a table, which is sent to every task and so may hold at most
+``MAX_TEMPLATE_BYTES``. A notice of a few words has so few bigrams that only its exact words reach the threshold, so
+its wordings are listed as variants; full texts may differ in places.
 
 Defined cases: a null text is an empty one and holds no licence. Repeated rows and rows without id give one result each. Empty
 tables give no rows.
@@ -17,16 +20,19 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from searchloom.llm.license_texts import TEMPLATES
+from searchloom.llm.license_texts import all_templates
 from searchloom.llm.texts import named
 
 THRESHOLD = 0.9
 BATCH = 256
+#: bytes of a table of templates
+MAX_TEMPLATE_BYTES = 16 << 20
 _WORD = re.compile(r"\w+")
 _BREAK = re.compile(r"\n")
 
@@ -42,21 +48,23 @@ def dice(a: Counter, b: Counter) -> float:
 
 
 class Scanner:
-    """Finds templates (name: text) in texts."""
-
-    def __init__(self, templates: dict[str, str], threshold: float = THRESHOLD):
-        self._grams = {name: bigrams(text) for name, text in templates.items()}
-        self._owners: dict[tuple[str, str], list[str]] = {}
-        for name, grams in self._grams.items():
+    """Finds templates, (name, text) pairs or a dict of them, in texts. Templates of fewer than two words match nothing."""
+
+    def __init__(self, templates: dict[str, str] | Iterable[tuple[str, str]], threshold: float = THRESHOLD):
+        pairs = list(templates.items() if isinstance(templates, dict) else templates)
+        self._names = [name for name, _ in pairs]
+        self._grams = [bigrams(text) for _, text in pairs]
+        self._owners: dict[tuple[str, str], list[int]] = {}
+        for which, grams in enumerate(self._grams):
             for gram in grams:
-                self._owners.setdefault(gram, []).append(name)
+                self._owners.setdefault(gram, []).append(which)
         self._threshold = threshold
         low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-        self._bounds = {name: (g.total() * low, g.total() * high) for name, g in self._grams.items()}
+        self._bounds = [(g.total() * low, g.total() * high) for g in self._grams]
 
-    def _windows(self, name: str, grams: list[tuple[str, str]], at: list[int]) -> Iterator[tuple[int, int, int]]:
+    def _windows(self, which: int, grams: list[tuple[str, str]], at: list[int]) -> Iterator[tuple[int, int, int]]:
         """(first bigram, bigram after the last, shared bigrams) of all windows that match; ``at`` are the places of the template's bigrams."""
-        template, (low, high) = self._grams[name], self._bounds[name]
+        template, (low, high) = self._grams[which], self._bounds[which]
         size, right, ahead, shared = template.total(), 0, Counter(), 0
         for left, start in enumerate(at):
             while right < len(at) and at[right] - start + 1 <= high:
@@ -78,16 +86,16 @@ class Scanner:
         """(template, first line, line after the last, Dice), by place."""
         words = _WORD.findall(text.lower())
         grams, owners = list(zip(words, words[1:])), self._owners
-        places: dict[str, list[int]] = {}
+        places: dict[int, list[int]] = {}
         for n, gram in enumerate(grams):
             if gram in owners:
-                for name in owners[gram]:
-                    places.setdefault(name, []).append(n)
+                for which in owners[gram]:
+                    places.setdefault(which, []).append(n)
         found = []
-        for name, at in places.items():
-            size = self._grams[name].total()
-            if len(at) >= self._bounds[name][0]:
-                found += [(3 * k - (b - a) - size, 2 * k / (b - a + size), name, a, b) for a, b, k in self._windows(name, grams, at)]
+        for which, at in places.items():
+            size = self._grams[which].total()
+            if len(at) >= self._bounds[which][0]:
+                found += [(3 * k - (b - a) - size, 2 * k / (b - a + size), self._names[which], a, b) for a, b, k in self._windows(which, grams, at)]
         if not found:
             return []
         best, taken = [], bytearray(len(words))
@@ -100,9 +108,23 @@ class Scanner:
         return [(name, line_of[a], line_of[b] + 1, score) for a, b, name, score in sorted(best)]
 
 
-def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def template_table(table: DataFrame, name_col: str = "name", text_col: str = "text") -> list[tuple[str, str]]:
+    """Templates of a table, rows without name or text left out; refuses more than ``MAX_TEMPLATE_BYTES``."""
+    rows = table.select(named(name_col).cast("string").alias("name"), named(text_col).alias("text")).where("name IS NOT NULL AND text IS NOT NULL")
+    size = rows.agg(F.sum(F.octet_length("name") + F.octet_length("text"))).first()[0] or 0
+    if size > MAX_TEMPLATE_BYTES:
+        raise ValueError(f"templates of {size} bytes are too many to send to every task")
+    return sorted((r["name"], r["text"]) for r in rows.distinct().collect())
+
+
+def scan(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    templates: DataFrame | dict[str, str] | Iterable[tuple[str, str]] | None = None, threshold: float = THRESHOLD,
+) -> DataFrame:
     """Per row: id, ``n_found``, ``licenses`` (names, sorted, each once, comma-joined), ``best_dice`` (4 decimals), ``parts`` (name:first line:end)."""
-    templates = TEMPLATES if templates is None else templates
+    if isinstance(templates, DataFrame):
+        templates = template_table(templates)
+    templates = all_templates() if templates is None else list(templates.items() if isinstance(templates, dict) else templates)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, threshold)

@@ -2,10 +2,11 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from searchloom.llm import licenses
-from searchloom.llm.license_texts import TEMPLATES
+from searchloom.llm.license_texts import CALLED, FORMS, TEMPLATES, all_templates
 
 
 def grams(text):
@@ -19,7 +20,7 @@ def brute(text, templates, threshold=0.9):
     for a in range(len(lines)):
         for b in range(a + 1, len(lines) + 1):
             part = grams("\n".join(lines[a:b]))
-            for name, template in templates.items():
+            for name, template in templates:
                 g = grams(template)
                 if 2 * (part & g).total() >= threshold * (part.total() + g.total()):
                     found.add(name)
@@ -44,7 +45,7 @@ def test_finds_what_every_run_of_lines_finds(spark):
         if r.doc_id is None:
             assert r.licenses == "mit"
         elif len(texts[r.doc_id] or "") < 5000:
-            mine, want = set(r.licenses.split(",")) - {""}, brute(texts[r.doc_id], TEMPLATES)
+            mine, want = set(r.licenses.split(",")) - {""}, brute(texts[r.doc_id], all_templates())
             # of overlapping matches only the best is reported
             assert mine <= want and bool(mine) == bool(want), (texts[r.doc_id], mine, want)
             assert (r.n_found > 0) == bool(mine) == (r.best_dice >= 0.9)
@@ -85,3 +86,45 @@ def test_windows_match_brute_force():
         want = {n for n, t in templates.items() for i in range(len(words)) for j in range(i + 2, len(words) + 1) if licenses.dice(grams(" ".join(words[i:j])), grams(t)) >= 0.9}
         got = {x[0] for x in licenses.Scanner(templates).scan(text)}
         assert got <= want and bool(got) == bool(want), text
+
+
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [
+        ("Licensed under the MIT License.", "mit"),
+        ("The code is licensed under MIT, the data are not.", "mit"),
+        ("Licensed under CC BY 4.0.", "cc-by-4.0"),
+        ("This text is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa-4.0"),
+        ("Licensed under the Apache License 2.0", "apache-2.0"),
+        ("# SPDX-License-Identifier: MIT", "mit"),
+        ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0"),
+        ("Distributed under the GNU Lesser General Public License, version 2.1 or later", "lgpl-2.1"),
+        ("You may use it under the terms of the GNU General Public License.", "gpl"),
+        ("released under the BSD\n3-Clause License", "bsd-3-clause"),
+    ],
+)
+def test_notices(text, name):
+    assert [x[0] for x in licenses.Scanner(all_templates()).scan(f"Some words first. {text} And more.")] == [name]
+
+
+def test_every_template_is_found_as_itself():
+    scanner = licenses.Scanner(all_templates())
+    for name, text in all_templates():
+        assert name in [x[0] for x in scanner.scan(text)], (name, text)
+    headers = [n for n in TEMPLATES if n.endswith("-header")]
+    assert {scanner.scan(TEMPLATES[n])[0][0] for n in headers} == set(headers) and len({TEMPLATES[n] for n in headers}) == len(headers)
+    assert "Affero" in TEMPLATES["agpl-3.0-header"] and TEMPLATES["lgpl-2.1-header"].count("Lesser") >= 2 and "Neither the name" in TEMPLATES["bsd-3-clause"]
+    for text in ("the software is licensed", "under the terms of the contract", "available under the counter", "we licensed under a deal"):
+        assert scanner.scan(text) == []
+    assert len(FORMS) * sum(map(len, CALLED.values())) < len(all_templates())
+
+
+def test_templates_of_a_table(spark, monkeypatch):
+    table = spark.createDataFrame([("x", "one two three", 1), ("x", "three two one", 2), ("y", None, 3), (None, "a b", 4), ("x", "one two three", 5), ("z", "lone", 6)], "name string, text string, id int")
+    docs = spark.createDataFrame([(1, "so one two three"), (2, "three, two; one"), (3, "lone a b")], "doc_id int, text string")
+    got = {r.doc_id: (r.licenses, r.n_found) for r in licenses.scan(docs, templates=table).collect()}
+    assert got == {1: ("x", 1), 2: ("x", 1), 3: ("", 0)}
+    assert [r.n_found for r in licenses.scan(docs, templates=table.limit(0)).collect()] == [0, 0, 0]
+    monkeypatch.setattr(licenses, "MAX_TEMPLATE_BYTES", 10)
+    with pytest.raises(ValueError):
+        licenses.scan(docs, templates=table)
