@@ -3,7 +3,9 @@
 Benchmark items become windows of ``n`` words. Documents are cut into words once; every window
 start gets a 64-bit key of four of its words, keys are looked up in the broadcast table, and the
 few hits are verified on all words of the window. Documents are not shuffled: only hits and one
-row per document are.
+row per document are. A benchmark whose windows are too large to broadcast is met by keys alone:
+(row, place, key) of every word is shuffled, without texts; the documents are written first, so that rows keep
+their numbers, and get back the places whose key occurs.
 
 Defined cases: a null or wordless text has no words and no hits. An item of fewer than ``n``
 words, but not none, is one shorter window. An item without id still marks words, but is not
@@ -21,7 +23,7 @@ from searchloom.llm.texts import ASCII_GAPS, CASED_GAPS, ascii_lower, hex_digest
 from searchloom.sinks.tables import staged
 
 WINDOW_WORDS = 10
-#: the table of windows is broadcast up to this size; beyond it the planner joins by shuffle
+#: the table of windows is broadcast up to this size; beyond it keys are shuffled
 MAX_BROADCAST_BYTES = 64 << 20
 
 
@@ -62,7 +64,10 @@ def hits(documents: DataFrame, benchmark: DataFrame, keep: list[str], *, text_co
     windows = staged(benchmark_windows(benchmark, item_col, item_text_col, n), "benchmark-windows")
     facts = windows.agg(F.collect_set("n").alias("lengths"), F.sum(F.size("gram") * 24 + 64).alias("bytes")).first()
     lengths = sorted(facts["lengths"])
-    table = F.broadcast(windows) if (facts["bytes"] or 0) <= MAX_BROADCAST_BYTES else windows
+    if (facts["bytes"] or 0) > MAX_BROADCAST_BYTES:
+        docs = documents.select(row_of(keep).alias("kept"), words_of(text_col).alias("words"))
+        return _hits_by_keys(staged(docs.withColumn("row", F.monotonically_increasing_id()), "benchmark-words"), windows, lengths)
+    table = F.broadcast(windows)
 
     words = F.col("words")
     docs = documents.select(row_of(keep).alias("kept"), words_of(text_col).alias("words"))
@@ -88,6 +93,29 @@ def hits(documents: DataFrame, benchmark: DataFrame, keep: list[str], *, text_co
     ).drop("row")
 
 
+def key_places(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """(row, start, n, key) of the document windows whose key occurs in the benchmark."""
+    words = F.col("words")
+    places = F.concat(*[F.transform(_keys(words, k), lambda key, at: F.struct(at.alias("start"), F.lit(k).alias("n"), key.alias("key"))) for k in lengths])
+    return docs.select("row", F.inline(places)).join(windows.select("key").distinct(), "key", "left_semi")
+
+
+def _hits_by_keys(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """``hits`` of written documents (row, kept, words), by shuffles of keys and of the windows that have one."""
+    # a document's places are no more than its words, for each length
+    places = key_places(docs, windows, lengths).groupBy("row").agg(F.collect_list(F.struct("start", "n", "key")).alias("places"))
+    grams = F.transform("places", lambda p: F.struct(p["start"].alias("start"), p["key"].alias("key"), F.slice("words", p["start"] + 1, p["n"]).alias("gram")))
+    found = docs.select("row", "words").join(places, "row").select("row", F.inline(grams)).join(windows, ["key", "gram"])
+    spans = found.groupBy("row").agg(
+        F.array_sort(F.collect_set(F.struct(F.col("start").cast("long").alias("start"), F.col("n").cast("long").alias("length")))).alias("spans"),
+        F.array_sort(F.collect_set("item")).alias("items"),
+    )
+    none = F.array().cast("array<struct<start:bigint,length:bigint>>")
+    return docs.select("row", "kept", F.size("words").cast("long").alias("n_words")).join(spans, "row", "left").select(
+        "kept", "n_words", F.coalesce("spans", none).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    )
+
+
 def _covered(spans: Column) -> Column:
     """Words inside any of the sorted spans."""
     zero = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("sum"))

@@ -49,12 +49,32 @@ def test_matches_brute_force(spark):
     want = sorted(((i, *brute(t, items)) for i, t in rows), key=str)
     got = decontaminate.report(docs, benchmark).drop("spans").collect()
     assert sorted(map(tuple, got), key=str) == want
-    # the same without a broadcast
-    old, decontaminate.MAX_BROADCAST_BYTES = decontaminate.MAX_BROADCAST_BYTES, 0
+
+
+def test_a_benchmark_beyond_the_broadcast_limit(spark, monkeypatch):
+    items, rows = fixture()
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("key", F.lit(1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item", F.lit("x")).withColumn("places", F.lit(1)).withColumn("row", F.lit(1))
+    want = sorted(map(tuple, decontaminate.report(docs, benchmark).collect()), key=str)
+    clean = sorted(map(tuple, decontaminate.clean_documents(docs, benchmark).collect()), key=str)
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, decontaminate.report(docs, benchmark).collect()), key=str) == want
+    assert sorted(map(tuple, decontaminate.clean_documents(docs, benchmark).collect()), key=str) == clean
+    assert decontaminate.report(docs.limit(0), benchmark).collect() == []
+    # what is shuffled for every word holds no words
+    windows = decontaminate.benchmark_windows(benchmark)
+    written = docs.select(decontaminate.words_of("text").alias("words"), F.monotonically_increasing_id().alias("row"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert sorted(map(tuple, decontaminate.report(docs, benchmark).drop("spans").collect()), key=str) == want
+        near = decontaminate.key_places(written, windows, [1, 10])
+        assert near.columns == ["key", "row", "start", "n"]
+        plan = near._jdf.queryExecution().executedPlan().toString().split("\n")
+        at = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning(key" in line)
+        above = [line for line in plan[:at] if "words" in line]
+        assert not above and "Generate inline" in "\n".join(plan[at:])
     finally:
-        decontaminate.MAX_BROADCAST_BYTES = old
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_documents_and_spans_go(spark):
