@@ -12,7 +12,7 @@ from searchloom import contract as C
 from searchloom.operators import wire
 from searchloom.sinks import tables
 from searchloom.sinks.docstore import DocumentStore
-from searchloom.streaming import indexing
+from searchloom.streaming import extraction, indexing
 
 PAYLOADS = ['{"type":14,"content":[{"type":"text","text":"a \\" }"},[1,{"k":[2]}]]}', '{ "type" : 1.0 , "n":9007199254740993 }', "[ 1, [2] ]"]
 
@@ -60,3 +60,11 @@ def test_a_batch_of_one_file_is_parsed_by_all_cores(spark, tmp_path):
     store = DocumentStore(spark, str(tmp_path / "docs"), slot_width=10**16)
     indexing.index_batch(batch, "1", store, str(tmp_path / "dlq"))
     assert store.read().count() == 200
+
+
+def test_file_messages_are_decoded_without_a_filter_below(spark):
+    good = '{"schema_version":1,"message_id":"5","raw_payload":{"type":8,"url":"u","size":3}}'
+    found, bad = extraction.decoded_files(stream(spark, [good, "junk", '{"message_id":"6","raw_payload":{"type":1,"n":8}}']))
+    assert "Filter" not in plan(bad)
+    assert [(r["message_id"], r["url"], r["size"], r["offset"]) for r in found.collect()] == [("5", "u", 3, 0)]
+    assert [(r["message_id"], r["reason"], r["offset"]) for r in bad.collect()] == [("1", C.FILE_PARSE, 1)]
