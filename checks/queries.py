@@ -78,9 +78,14 @@ def letters_of(spark, sf):
     return deadletters.load_letters(enrich.only(judged, F.col("reason").isNotNull(), *keep))
 
 
-def outcomes_of(spark, sf):
+def written_docs(spark, sf):
+    """Documents as the store has them: parsed once, however often they are read."""
+    return tables.staged(docs_of(spark, sf), "docs")
+
+
+def outcomes_of(spark, sf, docs=None):
     # as the job does, from written documents: the few columns of the files are read several times
-    pending = tables.staged(files.pending_files(docs_of(spark, sf)), "pending")
+    pending = tables.staged(files.pending_files(docs_of(spark, sf) if docs is None else docs), "pending")
     return files.extract_files(pending, driver_tables.file_bytes(spark, sf), O.HOSTS, max_content_bytes=O.MAX_CONTENT)
 
 
@@ -141,7 +146,7 @@ def _(spark, sf):
 @query("files_pending", O.X + f"""SELECT doc_id AS message_id, file_url AS url, file_name AS name, file_extension AS extension, file_size AS size FROM docs
   WHERE payload_type = 8 AND doc_id NOT IN (SELECT message_id FROM extracted WHERE outcome = 'ok' OR outcome IN {O._in(C.TOMBSTONE_REASONS)})""")
 def _(spark, sf):
-    return files.pending_files(upsert.partial_update(docs_of(spark, sf), file_backfill.file_updates(outcomes_of(spark, sf), NOW)))
+    return files.pending_files(extracted_docs(written_docs(spark, sf), spark, sf))
 
 
 @query("dlq_window_ids", O.L + f"SELECT DISTINCT message_id FROM letters WHERE message_id <> '' AND created_at BETWEEN {FROM} AND {MID}")
@@ -720,10 +725,8 @@ _UPSERT = f"""old AS (SELECT d.doc_id, d.payload_type, d.created_at, 'old' AS or
 new AS (SELECT doc_id, payload_type, created_at FROM docs WHERE created_at >= {FROM + 300})"""
 
 
-def extracted_docs(spark, sf):
-    docs = docs_of(spark, sf)
-    updates = file_backfill.file_updates(outcomes_of(spark, sf), NOW)
-    return upsert.partial_update(docs, updates)
+def extracted_docs(docs, spark, sf):
+    return upsert.partial_update(docs, file_backfill.file_updates(outcomes_of(spark, sf, docs), NOW))
 
 
 @query(
@@ -733,8 +736,9 @@ def extracted_docs(spark, sf):
     o.content, CASE WHEN o.mark = '-' THEN NULL ELSE o.mark END AS reason, o.mark IS NOT NULL AS has_meta FROM old o FULL JOIN new n ON o.doc_id = n.doc_id""",
 )
 def _(spark, sf):
-    old = extracted_docs(spark, sf).where(F.col("createdAt") <= TO).withColumn("source", F.lit("old"))
-    new = docs_of(spark, sf).where(F.col("createdAt") >= FROM + 300).withColumn("source", F.lit("new"))
+    docs = written_docs(spark, sf)
+    old = extracted_docs(docs, spark, sf).where(F.col("createdAt") <= TO).withColumn("source", F.lit("old"))
+    new = docs.where(F.col("createdAt") >= FROM + 300).withColumn("source", F.lit("new"))
     out = upsert.upsert(old, new)
     return out.select(
         F.col("_id").alias("doc_id"), F.col("source").alias("origin"), F.col("payload.type").alias("payload_type"),
@@ -745,8 +749,9 @@ def _(spark, sf):
 
 @query("apply_file_content", O.X + f"SELECT message_id AS doc_id, content, truncated, {NOW} AS extracted_at FROM extracted WHERE outcome = 'ok'")
 def _(spark, sf):
-    updates = file_backfill.file_updates(outcomes_of(spark, sf).where("outcome = 'ok'"), NOW)
-    docs = upsert.partial_update(docs_of(spark, sf), updates).where(F.col("payload.file.content").isNotNull())
+    stored = written_docs(spark, sf)
+    updates = file_backfill.file_updates(outcomes_of(spark, sf, stored).where("outcome = 'ok'"), NOW)
+    docs = upsert.partial_update(stored, updates).where(F.col("payload.file.content").isNotNull())
     m = "payload.file.contentMeta."
     return docs.select(
         F.col("_id").alias("doc_id"), F.col("payload.file.content").alias("content"), F.col(m + "truncated").alias("truncated"),
@@ -756,8 +761,9 @@ def _(spark, sf):
 
 @query("apply_tombstones", O.X + f"SELECT message_id AS doc_id, 'unextractable' AS status, outcome AS reason, CAST(NULL AS VARCHAR) AS content FROM extracted WHERE outcome IN {O._in(C.TOMBSTONE_REASONS)}")
 def _(spark, sf):
-    bad = outcomes_of(spark, sf).where("outcome <> 'ok'").select(F.col("message_id").alias("_id"), F.col("outcome").alias("reason"), F.lit(NOW).alias("extracted_at"))
-    docs = upsert.partial_update(docs_of(spark, sf), upsert.tombstones(bad))
+    stored = written_docs(spark, sf)
+    bad = outcomes_of(spark, sf, stored).where("outcome <> 'ok'").select(F.col("message_id").alias("_id"), F.col("outcome").alias("reason"), F.lit(NOW).alias("extracted_at"))
+    docs = upsert.partial_update(stored, upsert.tombstones(bad))
     return docs.where(F.col("payload.file.contentMeta.status").isNotNull()).select(
         F.col("_id").alias("doc_id"), F.col("payload.file.contentMeta.status").alias("status"),
         F.col("payload.file.contentMeta.reason").alias("reason"), F.col("payload.file.content").alias("content"),
@@ -767,8 +773,9 @@ def _(spark, sf):
 @query("partial_update", O.X + f"SELECT message_id AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'doc_not_yet' ELSE 'ok' END AS outcome FROM (SELECT * FROM extracted WHERE outcome = 'ok') x LEFT JOIN (SELECT doc_id FROM docs WHERE created_at >= {FROM + 100}) d ON x.message_id = d.doc_id")
 def _(spark, sf):
     """Texts against a table that lacks its earliest documents."""
-    updates = file_backfill.file_updates(outcomes_of(spark, sf).where("outcome = 'ok'"), NOW)
-    docs = docs_of(spark, sf).where(F.col("createdAt") >= FROM + 100)
+    stored = written_docs(spark, sf)
+    updates = file_backfill.file_updates(outcomes_of(spark, sf, stored).where("outcome = 'ok'"), NOW)
+    docs = stored.where(F.col("createdAt") >= FROM + 100)
     done = upsert.partial_update(docs, updates).where(F.col("payload.file.content").isNotNull()).select("_id", F.lit("ok").alias("outcome"))
     return done.unionByName(upsert.unmatched_updates(docs, updates)).withColumnRenamed("_id", "doc_id")
 
@@ -1018,7 +1025,7 @@ def _(spark, sf):
     SELECT token, doc_id, field, count(*) AS tf FROM (SELECT doc_id, field, unnest({_words('t')}) AS token FROM texts WHERE t <> '') GROUP BY ALL""",
 )
 def _(spark, sf):
-    return search.inverted_index(extracted_docs(spark, sf))
+    return search.inverted_index(extracted_docs(written_docs(spark, sf), spark, sf))
 
 
 # ---- scalar functions over all payloads -----------------------------------------------------

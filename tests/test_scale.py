@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 
 import pytest
-from helpers import message, messages
+from helpers import message, messages, payload_rows
 from pyspark.sql import functions as F
 
+from checks import queries
 from searchloom import contract as C
 from searchloom.operators import wire
 from searchloom.sinks import tables
@@ -68,3 +70,27 @@ def test_file_messages_are_decoded_without_a_filter_below(spark):
     assert "Filter" not in plan(bad)
     assert [(r["message_id"], r["url"], r["size"], r["offset"]) for r in found.collect()] == [("5", "u", 3, 0)]
     assert [(r["message_id"], r["reason"], r["offset"]) for r in bad.collect()] == [("1", C.FILE_PARSE, 1)]
+
+
+FILE = '{"type":8,"url":"https://files.example.com/docs/%d","name":"a.txt"}'
+
+
+@pytest.mark.parametrize("name", ["upsert_docs", "apply_file_content", "files_pending", "apply_tombstones", "partial_update", "inverted_index"])
+def test_documents_are_parsed_once(spark, monkeypatch, name):
+    calls, parse = Counter(), queries.docs_of
+
+    def counted(spark, sf):
+        calls["n"] += 1
+        return parse(spark, sf)
+
+    rows = payload_rows(spark, [FILE % 1, FILE % 2, '{"type":1,"content":"x y"}'])
+    bodies = spark.createDataFrame([("https://files.example.com/docs/1", bytearray(b"text one"))], "url string, body binary")
+    monkeypatch.setattr(queries, "rows_of", lambda spark, sf: rows)
+    monkeypatch.setattr(queries, "docs_of", counted)
+    monkeypatch.setattr(queries.driver_tables, "file_bytes", lambda spark, sf: bodies)
+    got = queries.QUERIES[name](spark, "none").collect()
+    assert calls["n"] == 1
+    if name == "apply_file_content":
+        assert [(r["doc_id"], r["content"]) for r in got] == [("1", "text one")]
+    if name == "files_pending":
+        assert [r["message_id"] for r in got] == ["2"]
