@@ -38,8 +38,8 @@ class SearchIndex:
     def update(self) -> bool:
         """Index what has changed in the table; false if nothing has.
 
-        Ranges that were compacted since are indexed as a whole, as their log is gone; of all
-        others only the documents that a delta names are read.
+        Ranges that were compacted since are indexed as a whole, as their log is gone, and so are ranges
+        that hold nothing older; of all others only the documents that a delta names are read.
         """
         version, value = self._value()
         table = self.store.state()
@@ -48,8 +48,9 @@ class SearchIndex:
         value["seq"] += 1
         whole = [int(s) for s, base in table.bases.items() if base["seq"] > value["upto"]]
         news = [e for e in table.log if e["seq"] > value["upto"]]
-        paths = [f"{self.store.root}/{e['folder']}/slot={s}" for e in news if e["kind"] != DROP for s in e["slots"] if s not in whole]
-        frames = [self.store.read_at(table, whole)]
+        fresh = {s for s in table.slots if all(e["seq"] > value["upto"] for e in table.layers(s))}
+        paths = [f"{self.store.root}/{e['folder']}/slot={s}" for e in news if e["kind"] != DROP for s in e["slots"] if s not in fresh.union(whole)]
+        frames = [self.store.read_at(table, sorted(fresh.union(whole)))]
         ids = [frames[0].select(F.col("_id").alias("doc_id"))]
         if paths:
             named = tables.staged(self.spark.read.schema("_id string").parquet(*paths).select(F.col("_id").alias("doc_id")).distinct(), "index-ids")

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from searchloom import contract as C
-from searchloom.operators import wire
+from searchloom.operators import documents, wire
 from searchloom.sinks import tables
 from searchloom.sinks.docstore import DocumentStore
+from searchloom.sinks.searchindex import SearchIndex
 from searchloom.streaming import extraction, indexing
 
 PAYLOADS = ['{"type":14,"content":[{"type":"text","text":"a \\" }"},[1,{"k":[2]}]]}', '{ "type" : 1.0 , "n":9007199254740993 }', "[ 1, [2] ]"]
@@ -94,3 +95,19 @@ def test_documents_are_parsed_once(spark, monkeypatch, name):
         assert [(r["doc_id"], r["content"]) for r in got] == [("1", "text one")]
     if name == "files_pending":
         assert [r["message_id"] for r in got] == ["2"]
+
+
+def test_new_ranges_are_indexed_without_a_lookup_of_their_ids(spark, tmp_path, monkeypatch):
+    store = DocumentStore(spark, str(tmp_path / "docs"), slot_width=10)
+    made = lambda *ids: documents.from_contract(messages(spark, *[message(message_id=str(i), raw_payload='{"type":1,"content":"word%s"}' % v) for i, v in ids]))
+    index, looked = SearchIndex(store, str(tmp_path / "index")), []
+    find = store.read_ids
+    monkeypatch.setattr(store, "read_ids", lambda ids, state=None: looked.append(1) or find(ids, state))
+    store.upsert(made((1, "a"), (2, "a"), (15, "a")))
+    store.upsert(made((2, "b")))
+    index.update()
+    assert not looked
+    assert {r["doc_id"] for r in index.match("worda").collect()} == {"1", "15"} and [r["doc_id"] for r in index.match("wordb").collect()] == ["2"]
+    store.upsert(made((1, "c"), (25, "a")))
+    index.update()
+    assert looked and {r["doc_id"] for r in index.match("worda").collect()} == {"15", "25"} and [r["doc_id"] for r in index.match("wordc").collect()] == ["1"]
