@@ -74,7 +74,7 @@ def run(rows: DataFrame, target: LoadTarget, counters: Observation | None = None
     version, cursors = target.cursors.read()
     dead = F.col("reason").isNotNull()
     judged = (
-        judged_rows(shards.scan(rows, cursors))
+        judged_rows(tables.dealt(shards.scan(rows, cursors)))
         .withColumn("leg", F.when(dead, F.lit("dlq")).otherwise(F.lit("docs")))
         .withColumn("payload", F.when(dead, F.col("payload")))  # documents hold theirs
     )

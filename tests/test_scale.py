@@ -6,12 +6,13 @@ import json
 from collections import Counter
 
 import pytest
-from helpers import message, messages, payload_rows
+from helpers import message, messages, payload_rows, row, rows
 from pyspark.sql import functions as F
 
 from checks import queries
 from searchloom import contract as C
 from searchloom.operators import documents, wire
+from searchloom.plans import historical
 from searchloom.sinks import tables
 from searchloom.sinks.docstore import DocumentStore
 from searchloom.sinks.searchindex import SearchIndex
@@ -111,3 +112,14 @@ def test_new_ranges_are_indexed_without_a_lookup_of_their_ids(spark, tmp_path, m
     store.upsert(made((1, "c"), (25, "a")))
     index.update()
     assert looked and {r["doc_id"] for r in index.match("worda").collect()} == {"15", "25"} and [r["doc_id"] for r in index.match("wordc").collect()] == ["1"]
+
+
+def test_shard_rows_of_one_row_group_are_parsed_by_all_cores(spark, tmp_path, monkeypatch):
+    """A load of a file that a scan reads in one task (cutover, resume_load)."""
+    rows(spark, *[row(str(i), id=i) for i in range(1, 401)]).coalesce(1).write.parquet(str(tmp_path / "shard"))
+    source = spark.read.schema(C.ddl(C.ROW_FIELDS)).parquet(str(tmp_path / "shard"))
+    target = historical.LoadTarget.below(spark, str(tmp_path / "load"))
+    judged = historical.run(source, target)
+    per_task = Counter(r[0] for r in judged.select(F.input_file_name()).collect()).values()
+    assert sum(per_task) == 400 and len(per_task) >= 4 and max(per_task) < 200
+    assert target.store.read().count() == 400
