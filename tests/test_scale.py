@@ -123,3 +123,27 @@ def test_shard_rows_of_one_row_group_are_parsed_by_all_cores(spark, tmp_path, mo
     per_task = Counter(r[0] for r in judged.select(F.input_file_name()).collect()).values()
     assert sum(per_task) == 400 and len(per_task) >= 4 and max(per_task) < 200
     assert target.store.read().count() == 400
+
+
+def test_counting_merged_documents_reads_ids_only(spark, tmp_path):
+    """As resume_load does after its documents were written twice."""
+    source = rows(spark, *[row(str(3 * 10**18 + i), id=i) for i in range(1, 9)])
+    target = historical.LoadTarget.below(spark, str(tmp_path / "load"))
+    historical.run(source.where("id < 5"), target)
+    historical.run(source, historical.LoadTarget(target.store, target.dlq_root, historical.VersionedPointer(spark, str(tmp_path / "lost"))))
+    counted = target.store.read().agg(F.count(F.lit(1)).alias("n"))
+    assert "payloadRaw" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert counted.first()["n"] == 8
+    assert sorted(r["messageId"] for r in target.store.read().collect()) == [3 * 10**18 + i for i in range(1, 9)]
+
+
+def test_updates_of_no_document_leave_nothing_in_a_merge(spark, tmp_path):
+    source = rows(spark, row(str(3 * 10**18 + 1), id=1), row(str(3 * 10**18 + 2), id=2))
+    target = historical.LoadTarget.below(spark, str(tmp_path / "load"))
+    historical.run(source, target)
+    ids = [(str(3 * 10**18 + 1), 3 * 10**18 + 1, "text"), (str(3 * 10**18 + 7), 3 * 10**18 + 7, "lost")]
+    updates = spark.createDataFrame(ids, "_id string, messageId bigint, content string")
+    target.store._append("files", updates.withColumn("contentMeta", F.lit(None).cast(C.META_DDL)))
+    got = {r["_id"]: r["payload"]["file"] and r["payload"]["file"]["content"] for r in target.store.read().collect()}
+    assert got == {str(3 * 10**18 + 1): "text", str(3 * 10**18 + 2): None}
+    assert target.store.read().count() == 2
