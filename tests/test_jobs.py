@@ -617,6 +617,24 @@ def test_drops_cover_what_was_written_before(spark, root):
     assert _ids(store) == [(5, 8), (95, 4), (205, 8)] and _text(store, 5) == ("five", None)
 
 
+def test_file_updates_merge_no_layers(spark, root, monkeypatch):
+    # every update of a stream asks which documents are there: the layers of a range are not merged for that
+    store = DocumentStore(spark, f"{root}/docs", slot_width=100)
+    for ids in ((1, 2), (1, 3), (150, 151)):
+        store.upsert(functools.reduce(DataFrame.unionByName, [_doc(spark, i, 8) for i in ids]))
+    store.update_files(_update(spark, ("1", "one", None)))
+    store.drop(2, 3)
+    store.drop(151, 152)
+    monkeypatch.setattr(docstore, "_merged", lambda docs, updates: pytest.fail("layers were merged"))
+    rows = [("1", "newer", None), ("2", "dropped", None), ("3", "three", None), ("4", "none", None), ("151", "dropped", None), ("x", "no number", None), ("950", "no range", None)]
+    assert sorted(r["_id"] for r in store.update_files(_update(spark, *rows)).collect()) == ["151", "2", "4", "950", "x"]
+    assert store.update_files(_update(spark)).collect() == []
+    monkeypatch.undo()
+    assert _text(store, 1) == ("newer", None) and _text(store, 3) == ("three", None)
+    store.upsert(_doc(spark, 2, 8))
+    assert store.update_files(_update(spark, ("2", "there again", None))).collect() == [] and _text(store, 2) == ("there again", None)
+
+
 def test_id_lookups_open_touched_ranges_only(spark, root, monkeypatch):
     store = DocumentStore(spark, f"{root}/docs", slot_width=100)
     store.upsert(functools.reduce(DataFrame.unionByName, [_doc(spark, 100 * k + i) for k in range(6) for i in (1, 2)]))
