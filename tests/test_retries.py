@@ -175,3 +175,20 @@ def test_steps_of_the_state():
     assert step(2000, item(7, 1)) == []
     assert [(r["offset"], r["attempts"]) for r in state.handleExpiredTimer(("1",), Clock(3000), None)] == [(7, 1)]
     assert not handle.cell.exists() and list(state.handleExpiredTimer(("1",), Clock(3000), None)) == []
+
+
+@pytest.mark.parametrize("parts, want", [(None, 32), (3, 3)])
+def test_state_has_few_partitions(spark, root, parts, want):
+    # a batch costs a worker and a commit for each of them, whatever it brings
+    setup, size = Setup(spark, root), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        query = setup.start(**({"parts": parts} if parts else {}))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", size)
+    try:
+        until(query, lambda: query.recentProgress)
+        assert {s.numShufflePartitions for p in query.recentProgress for s in p.stateOperators} == {want}
+    finally:
+        query.stop()
