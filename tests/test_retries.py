@@ -2,6 +2,7 @@
 
 import tempfile
 import time
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +193,42 @@ def test_state_has_few_partitions(spark, root, parts, want):
         assert {s.numShufflePartitions for p in query.recentProgress for s in p.stateOperators} == {want}
     finally:
         query.stop()
+
+
+class Batches:
+    """A stream that has ended so many batches of some seconds each: (seconds, rows taken in, rows that wait)."""
+
+    def __init__(self, monkeypatch, *batches):
+        self.clock, self.stopped, at = 0.0, False, 0.0
+        self.ends = []
+        for n, (seconds, rows, waiting) in enumerate(batches):
+            at += seconds
+            self.ends.append((at, SimpleNamespace(batchId=n, numInputRows=rows, stateOperators=[SimpleNamespace(numRowsTotal=waiting)])))
+        monkeypatch.setattr(retries.time, "monotonic", lambda: self.clock)
+
+    @property
+    def recentProgress(self):
+        return [p for at, p in self.ends if at <= self.clock]
+
+    @property
+    def lastProgress(self):
+        return self.recentProgress[-1] if self.recentProgress else None
+
+    def awaitTermination(self, seconds):
+        self.clock += seconds
+        return False
+
+    def stop(self):
+        self.stopped = True
+
+
+def test_a_long_input_is_drained_however_long_it_takes(monkeypatch):
+    none = (1, 0, 0)
+    query = Batches(monkeypatch, *[(700, 5, 9)] * 3, none, none)
+    assert retries.run_until_drained(query) and query.stopped and query.clock > 2100
+    assert retries.run_until_drained(Batches(monkeypatch, (700, 0, 3), (5, 5, 0), none, none))
+    # nothing comes in any more, and texts wait
+    query = Batches(monkeypatch, (30, 5, 9), *[(10, 0, 9)] * 100)
+    assert not retries.run_until_drained(query) and query.stopped and 600 <= query.clock <= 660
+    query = Batches(monkeypatch, *[(700, 5, 9)] * 3, none, none)
+    assert not retries.run_until_drained(query, timeout=100) and query.clock == 100
